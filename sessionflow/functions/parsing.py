@@ -4,8 +4,7 @@ Every adapter reads its fields as text with ``from_json`` and casts afterwards w
 so a quoted number is as good as a bare one and one bad field does not empty the whole record.
 Single-quoted JSON is accepted, as the feeds write it. Each adapter returns *all* lines, valid or
 not, with the typed columns, the original ``value`` and a boolean ``is_valid``; ``valid`` and
-``quarantine`` split the result. All of it is plain column expressions: filters and column pruning
-reach through it.
+``quarantine`` split the result. All of it runs inside the JVM.
 """
 
 from __future__ import annotations
@@ -39,12 +38,14 @@ def _adapt(
     is_valid: Column,
 ) -> DataFrame:
     text = ", ".join(f"`{f}` STRING" for f in fields)
-    raw = lines.select("value", F.from_json("value", text).alias("_j"))
-    shaped = raw.select("value", "_j", *columns(lambda f: F.col("_j").getField(f)))
+    # The generator parses a line once. As a plain column the parse would be copied into every
+    # condition that is pushed down to the scan.
+    raw = lines.select("value", F.inline(F.array(F.from_json("value", text))))
+    shaped = raw.select("value", *columns(F.col))
     return shaped.select(
         "value",
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in typed],
-        (F.col("_j").isNotNull() & is_valid).alias("is_valid"),
+        is_valid.alias("is_valid"),
     )
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from sessionflow.defaults import WALL_CLOCK_FORMAT, WALL_CLOCK_ZONE
 
+# Timestamps are 64-bit microseconds.
+MAX_EPOCH_MS = (2**63 - 1) // 1000
+
 
 def epoch_ms(ts: Column | str) -> Column:
     """Timestamp to epoch milliseconds, rounding down."""
@@ -26,8 +29,9 @@ def time_ms(df: DataFrame, ts: str) -> Column:
 
 
 def from_epoch_ms(ms: Column | str) -> Column:
-    """Epoch milliseconds to timestamp."""
-    return F.timestamp_millis(F.col(ms) if isinstance(ms, str) else ms)
+    """Epoch milliseconds to timestamp; null beyond what a timestamp can hold."""
+    ms = F.col(ms) if isinstance(ms, str) else ms
+    return F.timestamp_millis(F.when(ms.between(-MAX_EPOCH_MS, MAX_EPOCH_MS), ms))
 
 
 def from_wall_clock(
