@@ -4,12 +4,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sessionflow.streaming import sinks
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State lives in RocksDB, outside the heap of the executors, and checkpoints hold its changes
+# instead of a snapshot per micro-batch.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -21,16 +32,32 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/sessionflow/{name}-{uuid.uuid4().hex}"
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep state of streams started from now on in RocksDB, outside the heap of the executors.
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Settings for queries started inside the block; a query keeps what it was started with."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
-    Checkpoints then hold changes only, not whole snapshots in every micro-batch.
-    """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
+def start(
+    writer: DataStreamWriter,
+    spark: SparkSession,
+    timeouts: bool = True,
+    state_store: dict[str, str] | None = None,
+) -> StreamingQuery:
+    """Start a query with its state in RocksDB (or another ``state_store``).
 
-NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+    ``timeouts`` lets micro-batches without data run to set off timeouts.
+    """
+    wanted = STATE_STORE if state_store is None else state_store
+    with _settings(spark, {**wanted, NO_DATA_BATCHES: str(timeouts).lower()}):
+        return writer.start()
 
 
 def run_available_now(
@@ -49,14 +76,7 @@ def run_available_now(
     """
     spark = df.sparkSession
     folder = folder or shared_dir(spark, name)
-    writer = sinks.parquet(
-        df, f"{folder}/out", f"{folder}/checkpoint", mode, {"availableNow": True}
-    )
-    before = spark.conf.get(NO_DATA_BATCHES)
-    spark.conf.set(NO_DATA_BATCHES, str(timeouts).lower())
-    try:
-        query = writer.start()
-    finally:
-        spark.conf.set(NO_DATA_BATCHES, before)
-    query.awaitTermination()
+    now = {"availableNow": True}
+    writer = sinks.parquet(df, f"{folder}/out", f"{folder}/checkpoint", mode, now)
+    start(writer, spark, timeouts).awaitTermination()
     return sinks.read_batches(spark, f"{folder}/out", df.schema)
