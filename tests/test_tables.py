@@ -1,0 +1,146 @@
+"""Table operators on small literals, and against the plain way on random rows."""
+
+import random
+
+import pytest
+from conftest import rows
+from helpers import DRIVEN, drive_lines, split_by_gaps
+from pyspark.sql import functions as F
+
+from sessionflow import schemas
+from sessionflow.functions import parsing
+from sessionflow.operators import counts, sessions, spans, stations, trips
+from sessionflow.plans import islands as plan
+
+
+def vehicles(spark, *signals):
+    return spark.createDataFrame(list(signals), "vin string, createTime long, mileage long")
+
+
+def test_recorded_drives(spark):
+    lines = spark.createDataFrame([(x,) for x in drive_lines(["92", "15"])], schemas.LINES)
+    signals = parsing.valid(parsing.parse_vehicle(lines))
+    ended = [(v, *d, True) for v in ("15", "92") for d in DRIVEN]
+    found = trips.trips(signals)
+    assert found.columns == ["vin", *schemas.TRIP.names]
+    assert rows(found) == ended
+    status = rows(trips.trip_status(signals))
+    assert status == [(*t[:-1], i % 3 != 2) for i, t in enumerate(ended)]
+
+
+def test_gap_is_strict(spark):
+    df = vehicles(spark, ("A", 0, 1), ("A", 30_000, 2), ("A", 60_001, 3))
+    assert rows(trips.trips(df)) == [("A", 0, 30_000, 1, 2, 30, 1, True), ("A", 60_001, 60_001, 3, 3, 0, 0, True)]
+
+
+def test_no_progress_when_the_last_row_opened_a_trip(spark):
+    df = vehicles(spark, ("A", 0, 1), ("A", 40_000, 2), ("B", 0, 5))
+    assert rows(trips.trip_status(df)) == [
+        ("A", 0, 0, 1, 1, 0, 0, True),
+        ("B", 0, 0, 5, 5, 0, 0, False),
+    ]
+
+
+def test_equal_times_follow_the_tiebreak(spark):
+    df = spark.createDataFrame(
+        [("A", 0, 9, 1), ("A", 0, 5, 2), ("A", 10, 7, 4), ("A", 10, 8, 3)],
+        "vin string, createTime long, mileage long, seq long",
+    )
+    [row] = rows(trips.trips(df, tiebreak="seq"))
+    assert row[3:5] == (9, 7)
+
+
+def test_station(spark):
+    df = spark.createDataFrame([("S", t * 1000) for t in (0, 10, 50, 60)], "stationId string, dataTime long")
+    found = stations.station_outages(df)
+    assert found.columns == ["stationId", *schemas.STATION_EVENT.names]
+    assert rows(found) == [("S", 50_000, 10_000, True), ("S", 50_000, 60_000, False)]
+    assert [r["outageMs"] for r in stations.outage_ms(found).collect()] == [40_000]
+
+
+@pytest.mark.parametrize("per_block", [1, 3, 1024])
+@pytest.mark.parametrize("seed", range(3))
+def test_islands_against_the_plain_way(spark, monkeypatch, per_block, seed):
+    """Few cells per block make every key cross many blocks."""
+    monkeypatch.setattr(plan, "CELLS_PER_BLOCK", per_block)
+    rng = random.Random(seed)
+    signals, expected = [], []
+    for vin, n in {"hot": 600, "b": 50, "c": 1, "d": 2}.items():
+        times = sorted(rng.sample(range(-40_000, 60_000 if n < 100 else 20_000), n))
+        signals += [(vin, t, i) for i, t in enumerate(times)]
+        parts = split_by_gaps(times, 100)
+        for i, p in enumerate(parts):
+            before = parts[i - 1][-1] if i else None
+            first, last = times.index(p[0]), times.index(p[-1])
+            expected.append((vin, p[0], p[-1], len(p), before, i == len(parts) - 1, first, last))
+    rng.shuffle(signals)
+    found = plan.islands(vehicles(spark, *signals).repartition(5), "vin", F.col("createTime"), 100, "mileage", "mileage")
+    assert rows(found) == sorted(expected, key=repr)
+    narrow = plan.islands(vehicles(spark, *signals), "vin", F.col("createTime"), 100)
+    assert rows(narrow) == sorted([e[:6] for e in expected], key=repr)
+
+
+def test_two_key_columns(spark):
+    df = spark.createDataFrame([("a", "b,c", 0, 1), ("a,b", "c", 0, 2)], "x string, y string, createTime long, mileage long")
+    assert trips.trips(df, key=["x", "y"]).count() == 2
+
+
+def test_a_key_never_meets_in_one_group_unreduced(spark):
+    """The rows themselves are only ever grouped by cell, with partial aggregates before."""
+    df = vehicles(spark, ("A", 0, 1))
+    tree = trips.trips(df)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line.split("hashpartitioning(")[1].split(", 4)")[0] for line in tree.splitlines() if "Exchange hash" in line]
+    assert len(exchanges) == 3
+    assert "_cell" in exchanges[-1] and "_block" in exchanges[1] and "_spread" in exchanges[0]
+
+
+def test_counts(spark):
+    df = spark.createDataFrame(
+        [("1", "click", "t"), ("1", "click", None), ("1", "login", "t"), ("a,b", "", "t"), ("a", "b,", "t")],
+        "userId string, eventType string, eventTime string",
+    )
+    assert rows(counts.pv_counts(df)) == sorted(
+        [("1", "click", 2), ("1", "login", 1), ("a,b", "", 1), ("a", "b,", 1)], key=repr
+    )
+
+
+SESSION = "id int, greet string, isLast boolean, seq long"
+
+
+def test_complete_sessions(spark):
+    df = spark.createDataFrame(
+        [(1, "d", False, 4), (1, "c", True, 3), (1, "a", False, 1), (1, "b", False, 2), (2, "x", False, 1), (3, "y", True, 9)],
+        SESSION,
+    )
+    found = [(r["id"], r["sessionNo"], [e["greet"] for e in r["userEvents"]]) for r in sessions.complete_sessions(df).collect()]
+    assert sorted(found) == [(1, 0, ["a", "b", "c"]), (3, 0, ["y"])]
+    assert sessions.complete_sessions(df).schema["userEvents"].dataType.elementType.names == schemas.SESSION_EVENT.names
+
+
+@pytest.mark.parametrize("per_block", [1, 7, 1_000_000])
+def test_sessions_against_the_plain_way(spark, per_block):
+    rng = random.Random(per_block)
+    events, expected = [], []
+    for key in range(4):
+        number, held = 0, []
+        for seq in range(-20, 100):
+            last = rng.random() < (0.0, 0.05, 0.3, 1.0)[key]
+            events.append((key, "g", last, seq))
+            held.append(seq)
+            if last:
+                expected += [(key, s, number) for s in held]
+                number, held = number + 1, []
+    rng.shuffle(events)
+    df = spark.createDataFrame(events, SESSION)
+    found = sessions.closed_session_events(df, "id", "seq", "isLast", per_block)
+    assert rows(found.select("id", "seq", "sessionNo")) == sorted(expected, key=repr)
+
+
+def test_activity_span(spark):
+    df = spark.createDataFrame(
+        [("mike", 0), ("mike", 60_000), ("mike", 2_700_000), ("late", 9_000_000), ("edge", 9_000_000 - 5_400_000), ("none", None)],
+        "user_id string, event_time long",
+    )
+    alive = [("edge", 3_600_000, 3_600_000, 0, False), ("late", 9_000_000, 9_000_000, 0, False), ("mike", 0, 2_700_000, 2_700_000, False)]
+    assert rows(spans.activity_span(df)) == alive
+    assert rows(spans.activity_span_expiring(df)) == sorted([*alive, ("mike", 0, 2_700_000, 2_700_000, True)], key=repr)
