@@ -70,50 +70,46 @@ def islands(
     )
 
     # 2. local islands of a block
-    local = _chained(cells, [*keys, "_block"], "_cell", gap_ms, keep_prev=None, wide=wide)
-    edge = (F.col("_run") == 1) | (F.col("_run") == F.col("_runs"))
-    local = local.withColumn("_spread", F.when(~edge, F.col("_block"))).drop("_block", "_run", "_runs")
+    local = _chained(cells, [*keys, "_block"], "_cell", gap_ms, F.lit(None).cast("bigint"), wide)
+    spread = F.when(~(F.col("_first") | F.col("_last")), F.col("_block"))
+    local = local.withColumn("_spread", spread).withColumnRenamed("_prev", "_known")
 
     # 3. stitched islands of a key
-    whole = _chained(local, [*keys, "_spread"], "_s", gap_ms, keep_prev="_prev", wide=wide)
+    whole = _chained(local, [*keys, "_spread"], "_s", gap_ms, F.col("_known"), wide)
     return whole.select(
         *keys,
         F.col("_s").alias("start_ms"),
         F.col("_e").alias("end_ms"),
         F.col("_n").alias("n"),
         F.col("_prev").alias("prev_end_ms"),
-        (F.col("_spread").isNull() & (F.col("_run") == F.col("_runs"))).alias("is_last"),
+        (F.col("_spread").isNull() & F.col("_last")).alias("is_last"),
         *([F.col("_m0").alias("first_value"), F.col("_m1").alias("last_value")] if wide else []),
     )
 
 
 def _chained(
-    parts: DataFrame, group: list[str], by: str, gap_ms: int, keep_prev: str | None, wide: bool
+    parts: DataFrame, group: list[str], by: str, gap_ms: int, known: Column, wide: bool
 ) -> DataFrame:
-    """Join parts of a group whose distance is at most ``gap_ms``; ``_run`` numbers the results.
+    """Join parts of a group whose distance is at most ``gap_ms``.
 
-    ``keep_prev`` names a column that already holds the end of the part before, where known: such
-    a part opens a run of its own, whatever stands before it in this group.
+    ``known`` is the end of the part before, for parts whose predecessor is settled: they open a
+    run of their own, whatever stands before them in this group. ``_first`` and ``_last`` tell
+    whether a run has the first or the last part of its group.
     """
     w = Window.partitionBy(*group).orderBy(by)
-    seen = F.lag("_e").over(w)
-    known = F.col(keep_prev) if keep_prev else F.lit(None).cast("bigint")
-    opens = F.col("_before").isNull() | F.col("_known").isNotNull() | (F.col("_s") - F.col("_before") > gap_ms)
+    before = F.coalesce(known, F.col("_seen"))
+    opens = before.isNull() | known.isNotNull() | (F.col("_s") - before > gap_ms)
     flagged = (
-        parts.withColumn("_known", known)
-        .withColumn("_before", F.coalesce(F.col("_known"), seen))
-        .withColumn("_opens", opens.cast("bigint"))
-        .withColumn("_run", F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn(
-            "_runs",
-            F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        )
+        parts.withColumns({"_seen": F.lag("_e").over(w), "_next": F.lead("_s").over(w)})
+        .withColumn("_before", before)
+        .withColumn("_run", F.sum(opens.cast("bigint")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     )
     return flagged.groupBy(*group, "_run").agg(
         F.min("_s").alias("_s"),
         F.max("_e").alias("_e"),
         F.sum("_n").alias("_n"),
-        F.max("_runs").alias("_runs"),
         F.min_by("_before", "_s").alias("_prev"),
+        F.bool_or(F.col("_seen").isNull()).alias("_first"),
+        F.bool_or(F.col("_next").isNull()).alias("_last"),
         *([F.min_by("_m0", "_s").alias("_m0"), F.max_by("_m1", "_e").alias("_m1")] if wide else []),
     )

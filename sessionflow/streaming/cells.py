@@ -10,7 +10,7 @@ A cell carries its first and last time with their tiebreak and measure, and its
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -38,15 +38,19 @@ def as_cells(
     measure: str | None = None,
     tiebreak: str | None = None,
     pre_aggregate: bool = True,
+    fields: Sequence[str] = FIELDS,
 ) -> DataFrame:
-    """Cells of a stream, with the last time of each as its watermarked event time ``_at``.
+    """Cells of a stream: the keys, ``cell`` with the wanted fields, and the last time of each as
+    its watermarked event time ``_at``.
+
+    The fields are packed into one array, because what a state function costs per key is mostly
+    the conversion of its columns.
 
     With ``pre_aggregate`` lateness is decided per cell: rows that are late by less than a cell
     are kept if their task had a row of the same cell in time. Without it every row is a cell of
     its own and lateness is exact, but a busy key puts all its rows into one task.
     """
     zero = F.lit(0).cast("bigint")
-    t = F.col("_t")
     rows = df.select(
         *keys,
         time_ms(df, ts).alias("_t"),
@@ -54,14 +58,20 @@ def as_cells(
         (F.col(tiebreak).cast("bigint") if tiebreak else zero).alias("_o"),
     )
     if pre_aggregate:
-        cells = _reduced(rows.withColumn("_cell", floor_div(t, width_ms)), keys)
+        cells = _reduced(rows.withColumn("_cell", floor_div(F.col("_t"), width_ms)), keys)
     else:
         cells = rows.select(
             *keys,
             *[F.col(c).alias(f) for f, c in zip((*START, *END), ("_t", "_o", "_m") * 2)],
             F.lit(1).cast("bigint").alias("n"),
         )
-    return cells.withColumn("_at", from_epoch_ms("t1")).withWatermark("_at", watermark)
+    packed = cells.select(*keys, F.array(*fields).alias("cell"), from_epoch_ms("t1").alias("_at"))
+    return packed.withWatermark("_at", watermark)
+
+
+def unpack(chunk: pd.DataFrame, fields: Sequence[str] = FIELDS) -> dict[str, np.ndarray]:
+    """The fields of the cells of a chunk, one array each."""
+    return dict(zip(fields, np.stack(chunk["cell"].to_numpy()).T))
 
 
 def _reduced(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -96,7 +106,7 @@ def merged(chunks: Iterable[pd.DataFrame], width_ms: int) -> dict[str, np.ndarra
     cells = {f: np.empty(0, dtype=np.int64) for f in FIELDS}
     for chunk in chunks:
         if len(chunk):
-            new = {f: chunk[f].to_numpy(np.int64) for f in FIELDS}
+            new = unpack(chunk)
             cells = _merge({f: np.concatenate([cells[f], new[f]]) for f in FIELDS}, width_ms)
     return cells
 

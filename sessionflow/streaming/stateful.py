@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +31,14 @@ from sessionflow.defaults import (
     WATERMARK,
 )
 from sessionflow.plans.islands import key_list
-from sessionflow.streaming.cells import as_cells, merged
+from sessionflow.streaming.cells import as_cells, merged, unpack
 from sessionflow.streaming.folds import Open, Step, advance
 
 # Width of the cells of operators that know no gap.
 CELL_MS = 1_000
+# Fields they need.
+COUNTED = ("n",)
+SPANNED = ("t0", "t1")
 
 Key = tuple
 Chunks = Iterator[pd.DataFrame]
@@ -73,9 +77,9 @@ def _trip_rows(keys, key, start, end, start_value, end_value, ended) -> pd.DataF
         tripEndTime=end,
         startMileage=start_value,
         endMileage=end_value,
-        # truncated towards zero: an end that receded below the start gives a negative length
-        tripDuration=[int(int(e - s) / 1000) for s, e in zip(start, end)],
-        tripDistance=[int(b - a) for a, b in zip(start_value, end_value)],
+        # cut towards zero: an end that receded below the start gives a negative length
+        tripDuration=np.trunc((end - start) / 1000).astype(np.int64),
+        tripDistance=end_value - start_value,
         isTripEnded=ended,
     )
 
@@ -83,9 +87,9 @@ def _trip_rows(keys, key, start, end, start_value, end_value, ended) -> pd.DataF
 def _trip_function(keys: list[str], gap_ms: int, timeout_ms: int, recede: bool, progress: bool):
     def fold(key: Key, chunks: Chunks, state: GroupState):
         if state.hasTimedOut:
-            s, e, m0, m1 = state.get
+            columns = np.array(state.get)[:, None]
             state.remove()
-            yield _trip_rows(keys, key, [s], [e], [m0], [m1], [True])
+            yield _trip_rows(keys, key, *columns, np.array([True]))
             return
         stored = Open(*state.get) if state.exists else None
         step = advance(stored, merged(chunks, gap_ms + 1), gap_ms, recede)
@@ -94,7 +98,7 @@ def _trip_function(keys: list[str], gap_ms: int, timeout_ms: int, recede: bool,
         _arm(state, timeout_ms)
         shown = _shown(step, progress)
         if shown:
-            ended = [True] * (len(step.start_ms) - 1) + [False]
+            ended = np.arange(len(step.start_ms)) < len(step.start_ms) - 1
             columns = (step.start_ms, step.end_ms, step.start_value, step.end_value, ended)
             yield _trip_rows(keys, key, *[c[:shown] for c in columns])
 
@@ -172,15 +176,11 @@ def _station_function(keys: list[str], gap_ms: int, timeout_ms: int, recede: boo
         state.update((step.open.start_ms, step.open.end_ms))
         _arm(state, timeout_ms)
         # An outage lies between two transfers; the open transfer is progress.
-        start, end = list(step.start_ms[1:]), list(step.end_ms[:-1])
-        status = [True] * len(start)
+        start, end = step.start_ms[1:], step.end_ms[:-1]
         if not step.tail_is_new:
-            start, end, status = (
-                start + [step.open.start_ms],
-                end + [step.open.end_ms],
-                status + [False],
-            )
-        if start:
+            start, end = np.r_[start, step.open.start_ms], np.r_[end, step.open.end_ms]
+        if len(start):
+            status = np.arange(len(start)) < len(step.start_ms) - 1
             yield _frame(keys, key, startTime=start, endTime=end, status=status)
 
     return fold
@@ -217,7 +217,7 @@ def _count_function(keys: list[str], timeout_ms: int):
         if state.hasTimedOut:
             state.remove()
             return
-        n = (state.get[0] if state.exists else 0) + sum(int(c["n"].sum()) for c in chunks)
+        n = (state.get[0] if state.exists else 0) + sum(int(unpack(c, COUNTED)["n"].sum()) for c in chunks)
         state.update((n,))
         _arm(state, timeout_ms)
         yield _frame(keys, key, eventCount=[n])
@@ -238,7 +238,9 @@ def pv_counts_expiring(
     Rows without a readable time count too.
     """
     keys = key_list(keys)
-    cells = as_cells(df, keys, ts, CELL_MS, watermark, pre_aggregate=pre_aggregate)
+    cells = as_cells(
+        df, keys, ts, CELL_MS, watermark, pre_aggregate=pre_aggregate, fields=COUNTED
+    )
     fold = _count_function(keys, timeout_ms)
     return _keyed(cells, keys, fold, schemas.EVENT_COUNT, schemas.COUNT_STATE)
 
@@ -264,7 +266,9 @@ def _span_function(keys: list[str], timeout_ms: int):
             yield row(key, start, end, True)
             return
         bounds = [state.get] if state.exists else []
-        bounds += [(int(c["t0"].min()), int(c["t1"].max())) for c in chunks if len(c)]
+        for chunk in chunks:
+            cells = unpack(chunk, SPANNED)
+            bounds.append((int(cells["t0"].min()), int(cells["t1"].max())))
         start, end = min(b[0] for b in bounds), max(b[1] for b in bounds)
         state.update((start, end))
         state.setTimeoutTimestamp(end + timeout_ms)
@@ -288,5 +292,7 @@ def activity_span(
     """
     fold = _span_function([key], timeout_ms)
     timed = df.where(F.col(ts).isNotNull())
-    cells = as_cells(timed, [key], ts, CELL_MS, watermark, pre_aggregate=pre_aggregate)
+    cells = as_cells(
+        timed, [key], ts, CELL_MS, watermark, pre_aggregate=pre_aggregate, fields=SPANNED
+    )
     return _keyed(cells, [key], fold, schemas.SPAN, schemas.SPAN_STATE)

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from sessionflow.streaming.cells import FIELDS, merged
+from sessionflow.streaming.cells import merged
 from sessionflow.streaming.collect import collect_function
 from sessionflow.streaming.folds import Open, advance
 
@@ -34,7 +34,7 @@ def as_chunks(batch, rng):
         n = rng.randint(1, len(batch))
         part, batch = batch[:n], batch[n:]
         t, m = np.array([p[0] for p in part]), np.array([p[1] for p in part])
-        yield pd.DataFrame(dict(zip(FIELDS, (t, m, m, t, m, m, np.ones_like(t)))))
+        yield pd.DataFrame({"cell": list(np.stack([t, m, m, t, m, m, np.ones_like(t)]).T)})
 
 
 @pytest.mark.parametrize("recede", [False, True])
@@ -53,7 +53,7 @@ def test_against_loop(seed, recede):
 
 
 def test_two_rows_at_once_are_not_alone():
-    cells = merged([pd.DataFrame(dict(zip(FIELDS, [[100, 100], [1, 2], [1, 2], [100, 100], [1, 2], [1, 2], [1, 1]])))], 11)
+    cells = merged([pd.DataFrame({"cell": [np.array([100, i, i, 100, i, i, 1]) for i in (1, 2)]})], 11)
     assert not advance(Open(0, 0), cells, 10).tail_is_new
 
 
