@@ -266,6 +266,12 @@ def q_job_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_available_now(found, "job-trips").drop("batch_id")
 
 
+def q_job_trip_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _line_stream(spark, _vehicle_lines(_events(spark, sf_dir)), "trip-status")
+    found = jobs.trip_status(lines, tiebreak="mileage", gap_ms=GAP_MS)
+    return run_available_now(found, "job-trip-status").drop("batch_id")
+
+
 def q_job_station_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _line_stream(spark, _station_lines(_events(spark, sf_dir)), "station")
     found = jobs.station_messages(lines, gap_ms=GAP_MS)
@@ -277,6 +283,25 @@ def q_job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_available_now(jobs.counts(lines), "job-counts").drop("batch_id")
 
 
+def q_job_expiring_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _line_stream(spark, _user_lines(_events(spark, sf_dir)), "expiring-counts")
+    return run_available_now(jobs.expiring_counts(lines), "job-expiring-counts").drop("batch_id")
+
+
+def q_job_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines carry no order, so only the contents of a session are compared."""
+    lines = _line_stream(spark, _session_lines(_events(spark, sf_dir)), "sessions")
+    found = run_available_now(jobs.sessions(lines), "job-sessions", timeouts=False)
+    greets = F.array_sort(F.transform("userEvents", lambda e: e["greet"]))
+    closing = F.filter("userEvents", lambda e: e["isLast"])
+    return found.select(
+        F.col("userEvents")[0]["id"].alias("id"),
+        F.size("userEvents").cast("bigint").alias("n"),
+        F.size(closing).cast("bigint").alias("closing"),
+        F.concat_ws(",", greets).alias("greets"),
+    )
+
+
 def q_job_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _line_stream(spark, _login_lines(_events(spark, sf_dir)), "spans")
     return run_available_now(jobs.spans(lines), "job-spans").drop("batch_id")
@@ -338,6 +363,10 @@ _SPAN_COLUMNS = """user_id, a as "startTimestampMs", b as "endTimestampMs", b -
 _SPAN_EXPIRING = f"""{_SPAN} select {_SPAN_COLUMNS}, false as expired from s
 union all select {_SPAN_COLUMNS}, true from s
 where b + 1800000 < (select max(b) from s) - 3600000"""
+_VEHICLE_SOURCE = f"""select cast(user_id as varchar) as k, epoch_us(ts) // 1000 as t,
+  event_id as o {_GOOD}"""
+_JOB_COUNTS = f"""select cast(user_id as varchar) as "userId", event_type as "eventType",
+  count(*) as "eventCount" {_GOOD} group by 1, 2"""
 _STATION_SOURCE = f"select cast(user_id as varchar) as k, {_SECOND_MS} as t, 0 as o {_GOOD}"
 
 
@@ -384,14 +413,21 @@ def oracle_sql() -> dict[str, str]:
         "stream_sessions": f"""select user_id, {_SESSION_TEXT} from events group by user_id
             having bool_or(event_type = 'purchase')""",
         "stream_span": _SPAN_EXPIRING,
-        "job_trips": f"""{_segments(f"select cast(user_id as varchar) as k, epoch_us(ts) // 1000 as t,"
-            f" event_id as o {_GOOD}")} select k as vin, {_TRIP}, true as "isTripEnded" from h""",
+        "job_trips": f"""{_segments(_VEHICLE_SOURCE)} select k as vin, {_TRIP}, true as "isTripEnded"
+            from h""",
+        "job_trip_status": f"""{_segments(_VEHICLE_SOURCE)}
+            select k as vin, {_TRIP}, seg < last_seg as "isTripEnded" from h where {_NOT_JUST_OPENED}
+            union all select k, {_TRIP}, true from h where seg = last_seg""",
         "job_station_messages": f"""{_segments(_STATION_SOURCE)}
             select k as "key", cast(to_json(struct_pack("stationId" := k, "startTime" := "startTime",
             "endTime" := "endTime", status := status)) as varchar) as "value"
             from ({_STATION_ROWS} {_TIMED_OUT_STATION})""",
-        "job_counts": f"""select cast(user_id as varchar) as "userId", event_type as "eventType",
-            count(*) as "eventCount" {_GOOD} group by 1, 2""",
+        "job_counts": _JOB_COUNTS,
+        "job_expiring_counts": _JOB_COUNTS,
+        "job_sessions": f"""select cast(user_id as int) as id, count(*) as n,
+            count(*) filter (event_type = 'purchase') as closing,
+            string_agg(event_type, ',' order by event_type) as greets {_GOOD} group by user_id
+            having bool_or(event_type = 'purchase')""",
         "job_spans": f"""with e as (select cast(user_id as varchar) as u, epoch_us(ts) // 1000 as t
             {_GOOD}), s as (select u, min(t) as a, max(t) as b from e group by u),
             r as (select u, a, b, false as expired from s union all select u, a, b, true from s

@@ -26,8 +26,8 @@ def trips(
     it) or complete mode.
 
     Unlike the keyed-state form the result does not depend on micro-batches, and late rows within
-    the watermark can still extend or join trips. Windows are joined within each input partition
-    before the shuffle.
+    the watermark can still extend or join trips. Started by ``runner.start``, each task joins its
+    windows before the shuffle.
     """
     keys = key_list(key)
     # Gaps are compared in milliseconds, so the window gets times without a finer part.

@@ -13,12 +13,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from sessionflow.streaming import sinks
 
 # State lives in RocksDB, outside the heap of the executors, and checkpoints hold its changes
-# instead of a snapshot per micro-batch.
-STATE_STORE = {
+# instead of a snapshot per micro-batch. Session windows are joined in each task before the
+# shuffle, so that a busy key arrives as a few sessions.
+STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
@@ -49,13 +51,13 @@ def start(
     writer: DataStreamWriter,
     spark: SparkSession,
     timeouts: bool = True,
-    state_store: dict[str, str] | None = None,
+    settings: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """Start a query with its state in RocksDB (or another ``state_store``).
+    """Start a query with ``STREAM_SETTINGS``, or others.
 
     ``timeouts`` lets micro-batches without data run to set off timeouts.
     """
-    wanted = STATE_STORE if state_store is None else state_store
+    wanted = STREAM_SETTINGS if settings is None else settings
     with _settings(spark, {**wanted, NO_DATA_BATCHES: str(timeouts).lower()}):
         return writer.start()
 

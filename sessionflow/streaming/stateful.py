@@ -35,7 +35,7 @@ from sessionflow.streaming.cells import as_cells, merged, unpack
 from sessionflow.streaming.folds import Open, Step, advance
 
 # Width of the cells of operators that know no gap.
-CELL_MS = 1_000
+CELL_MS = 30_000
 # Fields they need.
 COUNTED = ("n",)
 SPANNED = ("t0", "t1")

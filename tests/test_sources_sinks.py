@@ -4,7 +4,7 @@ from sessionflow import schemas
 from sessionflow.functions.envelope import envelope
 from sessionflow.sources import lines, tables
 from sessionflow.streaming import jobs, sinks
-from sessionflow.streaming.runner import NO_DATA_BATCHES, STATE_STORE, run_available_now, shared_dir
+from sessionflow.streaming.runner import NO_DATA_BATCHES, STREAM_SETTINGS, run_available_now, shared_dir
 
 
 def test_socket_options(spark):
@@ -78,7 +78,7 @@ def test_jobs_keep_their_triggers():
 
 def test_settings_of_a_query_do_not_stay(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x\n")
-    watched = [*STATE_STORE, NO_DATA_BATCHES]
+    watched = [*STREAM_SETTINGS, NO_DATA_BATCHES]
     before = {k: spark.conf.get(k, None) for k in watched}
     run_available_now(lines.text_stream(spark, str(tmp_path)), "lines", "append", timeouts=False)
     assert {k: spark.conf.get(k, None) for k in watched} == before
