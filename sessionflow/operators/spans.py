@@ -39,7 +39,7 @@ def activity_span_expiring(
     more than the timeout.
     """
     spans = activity_span(df, key, ts)
-    newest = spans.agg(F.max("endTimestampMs")).scalar()
+    newest = df.agg(F.max(time_ms(df, ts))).scalar()
     over = F.col("endTimestampMs") + timeout_ms < newest - delay_ms
     states = F.when(over, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     return spans.withColumn("expired", F.explode(states))

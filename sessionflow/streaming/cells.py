@@ -102,16 +102,24 @@ def _reduced(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def merged(chunks: Iterable[pd.DataFrame], width_ms: int) -> dict[str, np.ndarray]:
-    """Cells of all chunks in time order, one array per field, each cell once."""
+    """Cells of all chunks in time order, one array per field, each cell once.
+
+    Chunks wait until they are as many as the cells so far, so that even a key whose rows hardly
+    share cells is merged a few times only.
+    """
     cells = {f: np.empty(0, dtype=np.int64) for f in FIELDS}
+    waiting, size = [], 0
     for chunk in chunks:
-        if len(chunk):
-            new = unpack(chunk)
-            cells = _merge({f: np.concatenate([cells[f], new[f]]) for f in FIELDS}, width_ms)
-    return cells
+        waiting.append(unpack(chunk))
+        size += len(chunk)
+        if size >= max(ROWS_PER_REDUCTION, len(cells["n"])):
+            cells = _merge([cells, *waiting], width_ms)
+            waiting, size = [], 0
+    return _merge([cells, *waiting], width_ms) if size else cells
 
 
-def _merge(parts: dict[str, np.ndarray], width_ms: int) -> dict[str, np.ndarray]:
+def _merge(tables: list[dict[str, np.ndarray]], width_ms: int) -> dict[str, np.ndarray]:
+    parts = {f: np.concatenate([t[f] for t in tables]) for f in FIELDS}
     by_start = np.lexsort((parts["o0"], parts["t0"]))
     by_end = np.lexsort((parts["o1"], parts["t1"]))
     # Both orders visit the cells in the same sequence, so they share the bounds of the groups.

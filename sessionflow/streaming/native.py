@@ -36,7 +36,7 @@ def trips(
         from_epoch_ms(time_ms(df, ts)).alias("_at"),
         F.col(measure).alias("_m"),
         *([F.col(tiebreak).alias("_o")] if tiebreak else []),
-    )
+    ).where(F.col("_at").isNotNull() & F.col("_m").isNotNull())
     order = F.struct("_at", "_o") if tiebreak else F.col("_at")
     found = (
         rows.withWatermark("_at", watermark)

@@ -127,7 +127,8 @@ def trips(
 
     A trip is reported in the micro-batch in which the next one starts. The last one of a key is
     reported once a micro-batch without rows of that key has a watermark later than the one of its
-    last rows plus ``timeout_ms``; a trip can therefore be cut by the timeout alone.
+    last rows plus ``timeout_ms``; a trip can therefore be cut by the timeout alone. Measure and
+    tiebreak are integers; rows without time or measure are left out.
     """
     fold = _trip_function(key_list(key), gap_ms, timeout_ms, end_may_recede, progress=False)
     return _trip_stream(df, key, ts, measure, tiebreak, gap_ms, watermark, pre_aggregate, fold)
@@ -155,8 +156,8 @@ def trip_status(
 
 def _trip_stream(df, key, ts, measure, tiebreak, gap_ms, watermark, pre_aggregate, fold) -> DataFrame:
     keys = key_list(key)
-    timed = df.where(F.col(ts).isNotNull())
-    cells = as_cells(timed, keys, ts, gap_ms + 1, watermark, measure, tiebreak, pre_aggregate)
+    signals = df.where(F.col(ts).isNotNull() & F.col(measure).isNotNull())
+    cells = as_cells(signals, keys, ts, gap_ms + 1, watermark, measure, tiebreak, pre_aggregate)
     return _keyed(cells, keys, fold, schemas.TRIP, schemas.TRIP_STATE)
 
 

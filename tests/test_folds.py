@@ -52,6 +52,19 @@ def test_against_loop(seed, recede):
         stored, now = opened, now + rng.randint(0, 120)
 
 
+@pytest.mark.parametrize("at_once", [1, 7, 10**9])
+def test_cells_do_not_depend_on_when_they_are_merged(monkeypatch, at_once):
+    monkeypatch.setattr("sessionflow.streaming.cells.ROWS_PER_REDUCTION", at_once)
+    rng = random.Random(3)
+    batch = [(rng.randint(-500, 500), i) for i in range(300)]
+    found = merged(as_chunks(batch, rng), 10)
+    by_cell = {}
+    for t, m in sorted(batch):
+        by_cell.setdefault(t // 10, []).append((t, m))
+    expected = [(c[0][0], c[0][1], c[-1][0], c[-1][1], len(c)) for c in by_cell.values()]
+    assert list(zip(*(found[f].tolist() for f in ("t0", "m0", "t1", "m1", "n")))) == expected
+
+
 def test_two_rows_at_once_are_not_alone():
     cells = merged([pd.DataFrame({"cell": [np.array([100, i, i, 100, i, i, 1]) for i in (1, 2)]})], 11)
     assert not advance(Open(0, 0), cells, 10).tail_is_new

@@ -80,6 +80,11 @@ def test_islands_against_the_plain_way(spark, monkeypatch, per_block, seed):
     assert rows(narrow) == sorted([e[:6] for e in expected], key=repr)
 
 
+def test_rows_without_time_or_measure_are_no_signals(spark):
+    df = vehicles(spark, ("A", 0, 1), ("A", None, 5), ("A", 20_000, None), ("A", 40_000, 2))
+    assert [r[1:5] for r in rows(trips.trips(df))] == [(0, 0, 1, 1), (40_000, 40_000, 2, 2)]
+
+
 def test_two_key_columns(spark):
     df = spark.createDataFrame([("a", "b,c", 0, 1), ("a,b", "c", 0, 2)], "x string, y string, createTime long, mileage long")
     assert trips.trips(df, key=["x", "y"]).count() == 2
