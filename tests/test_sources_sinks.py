@@ -93,3 +93,11 @@ def test_shared_dir_follows_the_cluster(spark):
 def test_kafka_messages_shape(spark):
     df = spark.createDataFrame([("S", 1)], "stationId string, n long")
     assert envelope(df, "stationId").schema.names == schemas.ENVELOPE.names
+
+
+def test_session_settings(spark):
+    from sessionflow.session import session
+
+    same = session("again", spark__sql__shuffle__partitions="4")
+    assert same.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert same.conf.get("spark.sql.shuffle.partitions") == "4"
