@@ -197,6 +197,12 @@ def q_parse_login(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select(epoch_ms("event_time").alias("event_ms"), "user_id")
 
 
+def q_read_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["event_id", "user_id", "event_type"]
+    lines = envelope(_events(spark, sf_dir), "event_id", columns)
+    return parsing.read_json(lines, "event_id BIGINT, user_id BIGINT, event_type STRING")
+
+
 def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.quarantine(parsing.parse_vehicle(_vehicle_lines(_events(spark, sf_dir))))
 
@@ -214,6 +220,11 @@ def q_stream_trips_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_available_now(found, "trips-native", "complete").drop("batch_id")
 
 
+def q_stream_trips_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = native.trips(_event_stream(spark, sf_dir), **TRIP)
+    return run_available_now(found, "trips-append", "append").drop("batch_id")
+
+
 def q_stream_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stateful.trips(_event_stream(spark, sf_dir), **TRIP)
     return run_available_now(found, "trips").drop("batch_id")
@@ -398,11 +409,14 @@ def oracle_sql() -> dict[str, str]:
             event_type = 'purchase' as "isLast", event_id as seq {_GOOD}""",
         "parse_login": f"""select epoch_us(ts) // 1000 as event_ms,
             cast(user_id as varchar) as user_id {_GOOD}""",
+        "read_json": "select event_id, user_id, event_type from events",
         "quarantine": """select substr('{"vin":"' || user_id || '","createTime":"' ||
             epoch_us(ts) // 1000 || '","mileage":' || event_id || '}', 1, 40)
             as "value" from events where event_type = 'error'""",
         "local_time_to_utc": f"select event_id, {_SECOND_MS} as utc_ms from events",
         "stream_trips_native": _TRIPS,
+        # a trip is appended once the watermark, five minutes behind, has passed its window
+        "stream_trips_append": f"""{_TRIPS} where b + 21600000 <= (select max(b) from h) - 300000""",
         "stream_trips": _TRIPS,
         "stream_trip_status": f"""{_STATUS}
             union all select k, {_TRIP}, true from h where seg = last_seg""",
