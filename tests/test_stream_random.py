@@ -1,0 +1,125 @@
+"""Random rows in random micro-batches, late ones among them, against a loop over rows and batches."""
+
+import random
+
+import pytest
+from conftest import rows
+from helpers import BASE_S, line_stream, vehicle
+from pyspark.sql import functions as F
+
+from sessionflow.functions import parsing
+from sessionflow.streaming import stateful
+from sessionflow.streaming.runner import run_available_now
+
+GAP, TIMEOUT, DELAY = 30, 10, 300
+
+
+def batches_of(seed):
+    rng = random.Random(seed)
+    now, batches = 0, []
+    for _ in range(8):
+        now += rng.choice([5, 20, 60, 400])
+        batch = []
+        for vin in "ABCD":
+            if rng.random() < 0.6:
+                back = 350 if rng.random() < 0.3 else 40
+                batch += [(vin, now - rng.randint(0, back)) for _ in range(rng.randint(1, 8))]
+        batches.append(batch or [("A", now)])
+    return batches
+
+
+class Clock:
+    """The watermark: seen by state one batch behind the rows, by late rows two."""
+
+    def __init__(self):
+        self.late = self.now = -BASE_S  # zero, relative to the base
+
+    def after(self, batch):
+        newest = max([t for _, t in batch], default=None)
+        self.late = self.now
+        if newest is not None:
+            self.now = max(self.now, newest - DELAY)
+
+
+def simulate(batches, fold, timed_out):
+    """Feed batches, then empty ones while the watermark still moves. State is [value, deadline]."""
+    clock, states, out = Clock(), {}, []
+    number, moved = 0, True
+    while number < len(batches) or moved:
+        batch = batches[number] if number < len(batches) else []
+        in_time = [r for r in batch if r[1] > clock.late]
+        keys = sorted({k for k, _ in in_time})
+        for key in keys:
+            times = sorted(t for k, t in in_time if k == key)
+            state = states.get(key, [None, None])
+            state[0], found, deadline = fold(state[0], times, clock.now)
+            states[key] = [state[0], deadline]
+            out += [(number, key, *f) for f in found]
+        for key in [k for k in states if k not in keys and states[k][1] < clock.now]:
+            out += [(number, key, *f) for f in timed_out(states.pop(key)[0], clock.now)]
+        before = clock.now
+        clock.after(batch)
+        moved = clock.now > before
+        number += 1
+    return sorted(out, key=repr)
+
+
+def fold_status(state, times, now):
+    found = []
+    for i, t in enumerate(times):
+        if state is None:
+            state = [t, t]
+        if t - state[1] > GAP:
+            found.append((state[0], state[1], True))
+            state = [t, t]
+        else:
+            state = [state[0], max(state[1], t)]
+            if i == len(times) - 1:
+                found.append((state[0], state[1], False))
+    return state, found, now + TIMEOUT
+
+
+def fold_span(state, times, now):
+    state = [min([*times, *(state or [])]), max([*times, *(state or [])])]
+    return state, [(*state, False)], state[1] + 100
+
+
+def fold_count(state, times, now):
+    return (state or 0) + len(times), [((state or 0) + len(times),)], now + TIMEOUT
+
+
+def seconds(column):
+    return (F.col(column) / 1000).cast("bigint") - BASE_S
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_simulation(spark, seed):
+    batches = batches_of(seed)
+    lines = [[vehicle(v, t) for v, t in b] for b in batches]
+
+    def run(operator, *columns, **options):
+        signals = parsing.valid(parsing.parse_vehicle(line_stream(spark, lines)))
+        found = run_available_now(operator(signals, pre_aggregate=False, **options), "random")
+        return rows(found.select("batch_id", "vin", *columns))
+
+    ended = lambda s, now: [(s[0], s[1], True)]
+    status = run(stateful.trip_status, seconds("tripStartTime"), seconds("tripEndTime"), "isTripEnded")
+    assert status == simulate(batches, fold_status, ended)
+
+    trips = run(stateful.trips, seconds("tripStartTime"), seconds("tripEndTime"), "isTripEnded")
+    assert trips == [r for r in status if r[-1]]
+
+    spans = run(
+        stateful.activity_span,
+        seconds("startTimestampMs"),
+        seconds("endTimestampMs"),
+        "expired",
+        key="vin",
+        ts="createTime",
+        timeout_ms=100_000,
+        watermark="5 minutes",
+    )
+    assert spans == simulate(batches, fold_span, ended)
+
+    counted = run(stateful.pv_counts_expiring, "eventCount", keys=["vin"], ts="createTime")
+    assert counted == simulate(batches, fold_count, lambda s, now: [])
