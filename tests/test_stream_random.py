@@ -14,7 +14,7 @@ from sessionflow.streaming.runner import run_available_now
 GAP, TIMEOUT, DELAY = 30, 10, 300
 
 
-def batches_of(seed):
+def batches_of(seed, back):
     rng = random.Random(seed)
     now, batches = 0, []
     for _ in range(8):
@@ -22,8 +22,8 @@ def batches_of(seed):
         batch = []
         for vin in "ABCD":
             if rng.random() < 0.6:
-                back = 350 if rng.random() < 0.3 else 40
-                batch += [(vin, now - rng.randint(0, back)) for _ in range(rng.randint(1, 8))]
+                far = back if rng.random() < 0.4 else 40
+                batch += [(vin, now - rng.randint(0, far)) for _ in range(rng.randint(1, 8))]
         batches.append(batch or [("A", now)])
     return batches
 
@@ -64,6 +64,14 @@ def simulate(batches, fold, timed_out):
     return sorted(out, key=repr)
 
 
+def late_rows(batches):
+    clock, n = Clock(), 0
+    for batch in batches:
+        n += sum(t <= clock.late for _, t in batch)
+        clock.after(batch)
+    return n
+
+
 def fold_status(state, times, now):
     found = []
     for i, t in enumerate(times):
@@ -92,14 +100,16 @@ def seconds(column):
     return (F.col(column) / 1000).cast("bigint") - BASE_S
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_simulation(spark, seed):
-    batches = batches_of(seed)
+@pytest.mark.parametrize("seed, back, pre_aggregate", [(1, 900, False), (2, 250, True)])
+def test_against_simulation(spark, seed, back, pre_aggregate):
+    """Reduced to cells or not, the result is the same as long as no row is late."""
+    batches = batches_of(seed, back)
+    assert (late_rows(batches) > 5) == (not pre_aggregate)
     lines = [[vehicle(v, t) for v, t in b] for b in batches]
 
     def run(operator, *columns, **options):
         signals = parsing.valid(parsing.parse_vehicle(line_stream(spark, lines)))
-        found = run_available_now(operator(signals, pre_aggregate=False, **options), "random")
+        found = run_available_now(operator(signals, pre_aggregate=pre_aggregate, **options), "random")
         return rows(found.select("batch_id", "vin", *columns))
 
     ended = lambda s, now: [(s[0], s[1], True)]
