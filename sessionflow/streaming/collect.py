@@ -34,7 +34,7 @@ def collect_function(
         if "_order" in new:
             new = new.sort_values("_order", kind="stable")
         events = _plain(state.get[0], event) if state.exists else []
-        events += new[list(event)].to_dict("records")
+        events += [item for [item] in new["_item"]]
         if new["_closes"].any():
             if state.exists:
                 state.remove()
@@ -69,7 +69,8 @@ def complete_sessions(
     keys = key_list(key)
     closes = F.coalesce(F.col(is_last) if isinstance(is_last, str) else is_last, F.lit(False))
     rows = df.select(
-        *dict.fromkeys([*keys, *event]),
+        *keys,
+        F.array(F.struct(*event)).alias("_item"),  # in an array, fields keep their types and nulls
         closes.alias("_closes"),
         *([F.col(order).alias("_order")] if order else []),
     )

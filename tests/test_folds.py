@@ -88,7 +88,8 @@ class FakeState:
 
 
 def events(*items):
-    return iter([pd.DataFrame({"id": [1] * len(items), "greet": [g for g, _ in items], "_closes": [c for _, c in items]})])
+    item = [[{"greet": g}] for g, _ in items]
+    return iter([pd.DataFrame({"_item": item, "_closes": [c for _, c in items]})])
 
 
 @pytest.mark.parametrize("emit", [False, True])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sessionflow.functions import parsing
 from sessionflow.sources.lines import text_stream
-from sessionflow.streaming import cells, jobs, native, runner, sinks
+from sessionflow.streaming import cells, collect, jobs, native, runner, sinks
 from sessionflow.streaming.runner import run_available_now
 
 
@@ -204,9 +204,20 @@ def test_sessions_close_with_a_batch(spark):
         [event("b", False), event("c", True), event("d", False)],
         [event("e", True)],
     ]
+    batches[0].append("{'id':1,'isLast':false}")
     result = run_available_now(jobs.sessions(line_stream(spark, batches)), "s", timeouts=False)
-    got = [(r["batch_id"], [(e["greet"], e["isLast"]) for e in r["userEvents"]]) for r in result.collect()]
-    assert [(b, "".join(sorted(g for g, _ in e))) for b, e in sorted(got)] == [(1, "abcd"), (2, "e")]
+    got = {r["batch_id"]: sorted(e["greet"] or "-" for e in r["userEvents"]) for r in result.collect()}
+    assert got == {1: ["-", "a", "b", "c", "d"], 2: ["e"]}
+
+
+def test_sessions_keep_order_nulls_and_types(spark, tmp_path):
+    schema = "id int, seq long, n int, isLast boolean"
+    events = [(1, 2, None, False), (1, 1, 7, False), (1, 4, 9, True), (1, 3, None, None)]
+    spark.createDataFrame(events, schema).write.json(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).json(f"{tmp_path}/in")
+    found = collect.complete_sessions(stream, order="seq", event=["seq", "n"])
+    [row] = run_available_now(found, "s", timeouts=False).collect()
+    assert [(e["seq"], e["n"]) for e in row["userEvents"]] == [(1, 7), (2, None), (3, None), (4, 9)]
 
 
 def test_native_trips_append_what_the_watermark_has_passed(spark):
