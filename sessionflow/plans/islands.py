@@ -46,21 +46,20 @@ def islands(
     Columns: the keys, ``start_ms``, ``end_ms``, ``n`` (rows), ``prev_end_ms`` (end of the island
     before, null for the first of a key), ``is_last`` and, with ``measure``, its ``first_value``
     and ``last_value`` in (time, ``tiebreak``) order. Without ``tiebreak`` rows at the very same
-    time are taken in any order, which saves a sort. Rows without time or measure are left out.
+    time are ordered by their measure. Rows without time or measure are left out.
     """
     keys = key_list(key)
     wide = measure is not None
     rows = df.select(
         *keys,
         t_ms.cast("bigint").alias("_t"),
-        *([F.col(measure).alias("_m")] if wide else []),
-        *([F.col(tiebreak).alias("_o")] if wide and tiebreak else []),
+        *([F.col(measure).alias("_m"), F.col(tiebreak or measure).alias("_o")] if wide else []),
     ).where(F.col("_t").isNotNull())
     if wide:
         rows = rows.where(F.col("_m").isNotNull())
 
     # 1. cells
-    order = F.struct("_t", "_o") if wide and tiebreak else F.col("_t")
+    order = F.struct("_t", "_o") if wide else None
     rows = rows.withColumn("_cell", floor_div(F.col("_t"), gap_ms + 1)).withColumn(
         "_block", floor_div(F.col("_cell"), CELLS_PER_BLOCK)
     )

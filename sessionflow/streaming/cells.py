@@ -55,7 +55,7 @@ def as_cells(
         *keys,
         time_ms(df, ts).alias("_t"),
         (F.col(measure).cast("bigint") if measure else zero).alias("_m"),
-        (F.col(tiebreak).cast("bigint") if tiebreak else zero).alias("_o"),
+        (F.col(tiebreak or measure).cast("bigint") if measure else zero).alias("_o"),
     )
     if pre_aggregate:
         cells = _reduced(rows.withColumn("_cell", floor_div(F.col("_t"), width_ms)), keys)

@@ -35,9 +35,9 @@ def trips(
         *keys,
         from_epoch_ms(time_ms(df, ts)).alias("_at"),
         F.col(measure).alias("_m"),
-        *([F.col(tiebreak).alias("_o")] if tiebreak else []),
+        F.col(tiebreak or measure).alias("_o"),
     ).where(F.col("_at").isNotNull() & F.col("_m").isNotNull())
-    order = F.struct("_at", "_o") if tiebreak else F.col("_at")
+    order = F.struct("_at", "_o")
     found = (
         rows.withWatermark("_at", watermark)
         .groupBy(*keys, F.session_window("_at", f"{gap_ms} milliseconds"))

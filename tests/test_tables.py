@@ -48,6 +48,8 @@ def test_equal_times_follow_the_tiebreak(spark):
     )
     [row] = rows(trips.trips(df, tiebreak="seq"))
     assert row[3:5] == (9, 7)
+    [row] = rows(trips.trips(df))
+    assert row[3:5] == (5, 8)
 
 
 def test_station(spark):
