@@ -8,6 +8,8 @@ that parses lines first writes its events as JSON lines.
 from __future__ import annotations
 
 import sys
+from importlib import import_module
+from importlib.util import find_spec
 from collections.abc import Callable
 from pathlib import Path
 
@@ -23,7 +25,8 @@ from sessionflow.operators import counts, sessions, spans, stations, trips  # no
 from sessionflow.sources.lines import text_stream  # noqa: E402
 from sessionflow.sources.tables import parquet_stream, parquet_table, zoned  # noqa: E402
 from sessionflow.streaming import collect, jobs, native, stateful  # noqa: E402
-from sessionflow.streaming.runner import run_available_now, shared_dir  # noqa: E402
+from sessionflow.streaming.runner import run_available_now  # noqa: E402
+from sessionflow.workdir import shared_dir  # noqa: E402
 
 CUT = 40
 GAP_MS = 21_600_000
@@ -319,8 +322,21 @@ def q_job_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """One entry per operator; the functions above named ``q_`` and the key."""
-    return {n[2:]: f for n, f in globals().items() if n.startswith("q_")}
+    """One entry per operator; the functions above named ``q_`` and the key.
+
+    Queries over training data are added where their subpackage and the pipeline are installed.
+    """
+    found = {n[2:]: f for n, f in globals().items() if n.startswith("q_")}
+    for module in _training_data():
+        found |= module.queries()
+    return found
+
+
+def _training_data() -> list:
+    names = ["sessionflow.llm", "corpus_pipeline"]
+    if any(find_spec(n) is None for n in names):
+        return []
+    return [import_module("sessionflow.llm.queries"), import_module("corpus_pipeline")]
 
 
 # --- the same in SQL -----------------------------------------------------------------------------
@@ -382,6 +398,13 @@ _STATION_SOURCE = f"select cast(user_id as varchar) as k, {_SECOND_MS} as t, 0 a
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _own_sql()
+    for module in _training_data():
+        found |= module.oracle_sql()
+    return found
+
+
+def _own_sql() -> dict[str, str]:
     return {
         "trips": _TRIPS,
         "trip_status": _STATUS,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -11,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sessionflow.streaming import sinks
+from sessionflow.workdir import shared_dir
 
 # State lives in RocksDB, outside the heap of the executors, and checkpoints hold its changes
 # instead of a snapshot per micro-batch. Session windows are joined in each task before the
@@ -25,15 +24,6 @@ STREAM_SETTINGS = {
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
-
-    Only where that is unset, as on a single machine, a temporary folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sessionflow-")
-    return f"{base.rstrip('/')}/sessionflow/{name}-{uuid.uuid4().hex}"
-
-
 @contextmanager
 def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
     """Settings for queries started inside the block; a query keeps what it was started with."""

@@ -9,7 +9,8 @@ from conftest import rows
 import __spark_entry__ as entry
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = {n: f for n, f in entry.queries().items() if f.__module__ == entry.__name__}
+ORACLE = {n: q for n, q in entry.oracle_sql().items() if n in QUERIES}
 
 
 def test_all_queries_have_sql():

@@ -4,7 +4,8 @@ from sessionflow import schemas
 from sessionflow.functions.envelope import envelope
 from sessionflow.sources import lines, tables
 from sessionflow.streaming import jobs, sinks
-from sessionflow.streaming.runner import NO_DATA_BATCHES, STREAM_SETTINGS, run_available_now, shared_dir
+from sessionflow.streaming.runner import NO_DATA_BATCHES, STREAM_SETTINGS, run_available_now
+from sessionflow.workdir import shared_dir
 
 
 def test_socket_options(spark):
