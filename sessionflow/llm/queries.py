@@ -4,16 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionflow.llm import block_search, chat_windows, mixing
+from sessionflow.llm import block_search, bpe_lexicon, chat_windows, minhash, mixing
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The vocabulary of the registered encoding.
+VOCABULARY = "word_bpe_49k.json"
+
+
+def op3_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path(VOCABULARY)
+    lexicon = bpe_lexicon.build_lexicon(docs, path)
+    encoded = bpe_lexicon.encode(docs, path, lexicon, with_decoded=True, keep_text=False)
+    return encoded.select(
+        "doc_id",
+        F.col("bpe_tokens").alias("n_tokens"),
+        F.sha2("bpe_ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("bpe_decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_read(spark, sf_dir, "documents"), width=4)
+
+
 def op8_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_search.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
