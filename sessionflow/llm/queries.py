@@ -8,13 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionflow.llm import block_search, bpe_lexicon, chat_windows, minhash, mixing
+from sessionflow.llm import block_search, bpe_lexicon, chat_windows, minhash, mixing, suffix_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, length=50).select(
+        "doc_id",
+        F.col("suffix_bytes").alias("n_bytes"),
+        F.col("suffix_removed").alias("n_removed"),
+        F.col("suffix_spans").alias("n_spans"),
+        F.sha2("suffix_kept", 256).alias("kept_sha256"),
+    )
+
+
 #: The vocabulary of the registered encoding.
 VOCABULARY = "word_bpe_49k.json"
 
