@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionflow.llm import block_search, bpe_lexicon, chat_windows, minhash, mixing, suffix_dedup
+from sessionflow.llm import block_search, bpe_lexicon, chat_windows, minhash, mixing, quality_crf, suffix_dedup, toxicity
+from sessionflow.llm.labelled import remainder
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,16 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 4) == 2
+    model = quality_crf.fit(docs, _read(spark, sf_dir, "labels"), usable=~held_out)
+    score = F.col("quality_score")
+    return quality_crf.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), score.alias("score"), (score >= 0.7).cast("int").alias("predicted")
+    )
+
+
 #: The vocabulary of the registered encoding.
 VOCABULARY = "word_bpe_49k.json"
 
@@ -43,6 +54,17 @@ def op3_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.col("tox_severity").alias("severity"),
+        F.col("tox_probability").alias("score"),
+        F.col("tox_rejected").alias("toxic"),
+    )
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), width=4)
 
