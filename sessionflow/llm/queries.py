@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionflow.llm import block_search, bpe_lexicon, chat_windows, minhash, mixing, quality_crf, suffix_dedup, suffix_tree_lm, toxicity
+from sessionflow.llm import block_search, bpe_lexicon, chat_windows, minhash, mixing, quality_crf, suffix_dedup, suffix_tree_lm, toxicity, vector_dedup
 from sessionflow.llm.labelled import remainder
 
 
@@ -69,6 +69,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), width=4)
 
 
+def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op7_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree_lm.scores(_read(spark, sf_dir, "documents"), remainder("doc_id", 5) == 1)
 
