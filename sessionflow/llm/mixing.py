@@ -7,7 +7,7 @@ ever sorted. A larger budget takes all that a smaller one takes.
 
 Defined results: a null text has size 0 and takes part; a null source is a source of its own, the last
 one; documents of equal id (repeated rows) share a hash and are taken together or not at all; an empty
-table gives an empty result; columns of any other name pass through untouched.
+table gives an empty result; other columns pass through, but one with the name of an added column is replaced.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sessionflow.workdir import write_table
 
+_ADDED = ["mix_size", "mix_source_size", "mix_target", "mix_copies"]
 HASH_BITS, LEVEL_BITS = 60, 15
 #: A table of so many rows at most is sent to all tasks; beyond that it is joined by a shuffle.
 SMALL_ROWS = 10_000
@@ -117,26 +118,27 @@ def mix(
     Added columns: ``mix_size`` (words), ``mix_source_size``, ``mix_target``, ``mix_copies`` (how often
     the document is taken, 0 to ``max_repeats``).
     """
+    docs = docs.drop(*_ADDED)
     sized = docs.select(F.col(source_col).alias("source"), words_in(text_col).alias("size"), id_hash(id_col).alias("hash"))
     sizes = write_table(sized, "mix-sizes")
     targets = write_table(source_targets(sizes, weights, share, max_repeats), "mix-targets")
     few = targets.count() <= SMALL_ROWS
     hint = F.broadcast if few else (lambda df: df)
     cuts = write_table(thresholds(sizes, targets, max_repeats, hint), "mix-thresholds")
-    cuts = cuts.select(*[F.col(c).alias(f"mix_{c}") for c in cuts.columns])
-    joined = docs.join(hint(cuts), docs[source_col].eqNullSafe(F.col("mix_source")), "left")
-    again = (id_hash(id_col) < F.col("mix_below")) & (F.col("mix_whole") < max_repeats)
+    # one name beside those of the documents
+    cut = F.struct("source", "source_size", "target", "whole", "below").alias("mix_target")
+    joined = docs.join(hint(cuts.select(cut)), docs[source_col].eqNullSafe(F.col("mix_target.source")), "left")
+    again = (id_hash(id_col) < F.col("mix_target.below")) & (F.col("mix_target.whole") < max_repeats)
     return joined.select(
-        *[docs[c] for c in docs.columns],
+        *[f"`{c}`" for c in docs.columns],
         words_in(text_col).alias("mix_size"),
-        F.col("mix_source_size"),
-        F.col("mix_target"),
-        (F.col("mix_whole") + again.cast("int")).alias("mix_copies"),
+        F.col("mix_target.source_size").alias("mix_source_size"),
+        F.col("mix_target.target").alias("mix_target"),
+        (F.col("mix_target.whole") + again.cast("int")).alias("mix_copies"),
     )
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """One row for each copy that the mix takes, with the columns of the documents."""
     copies = F.explode(F.array_repeat(F.lit(1), F.col("mix_copies")))
-    rows = mixed.where("mix_copies > 0").withColumn("mix_copy", copies)
-    return rows.drop("mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_copy")
+    return mixed.where("mix_copies > 0").withColumn("mix_copies", copies).drop(*_ADDED)

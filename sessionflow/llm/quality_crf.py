@@ -10,7 +10,8 @@ lines of bad documents that look good are relabelled, and the field is fitted ag
 
 Defined results: a null or empty text is one empty line; texts are scored whole, whatever their length;
 repeated rows get equal scores; without labels of both kinds every score is the share of good labels (1 if
-there is none); an empty table gives an empty result; other columns pass through.
+there is none); an empty table gives an empty result; other columns pass through, but one named
+like an added or inner column is replaced.
 """
 
 from __future__ import annotations
@@ -245,6 +246,7 @@ def _climb(model: Model, features: np.ndarray, counts: np.ndarray, target: np.nd
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The documents, without text, with ``quality_score``."""
+    docs = docs.drop("quality_score", _TEXT)
     others = [c for c in docs.columns if c != text_col]
     schema = StructType([*(f for f in docs.schema.fields if f.name != text_col), StructField("quality_score", DoubleType())])
     rows = docs.select(*[f"`{c}`" for c in others], F.col(text_col).cast("string").cast("binary").alias(_TEXT))

@@ -12,7 +12,8 @@ thirds by how often they show evidence.
 
 Defined results: a null or empty text has no features, hence the severity that the thresholds give; long
 texts are scored whole; rows are scored each by itself, so repeated rows get equal scores; without toxic
-labels nothing is toxic; an empty table gives an empty result; other columns pass through.
+labels nothing is toxic; an empty table gives an empty result; other columns pass through, but
+one with the name of an added column is replaced.
 """
 
 from __future__ import annotations
@@ -165,6 +166,7 @@ def _descend(doc, column, count, grade, n_columns: int, penalty: float, steps: i
 def score(docs: DataFrame, model: Model, text_col: str = "text", limit: float = 0.5) -> DataFrame:
     """The documents with ``tox_severity`` (0 to 3), ``tox_probability`` and ``tox_rejected``."""
     names = ["tox_severity", "tox_probability", "tox_rejected"]
+    docs = docs.drop(*names)
     kinds = [DoubleType(), DoubleType(), BooleanType()]
     schema = StructType([*docs.schema.fields, *(StructField(n, k) for n, k in zip(names, kinds))])
 
