@@ -10,12 +10,12 @@ vocabulary, which has no decoder.
 
 Defined results: a null text is empty and has no tokens; texts of any length are encoded whole; special
 tokens that stand in a text become their ids; repeated rows are encoded each; an empty table gives an
-empty result and an empty lexicon; other columns pass through.
+empty result and an empty lexicon; other columns pass through, but one with the name of an added column is
+replaced.
 """
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import json
 import os
@@ -30,11 +30,11 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from sessionflow.workdir import shared_dir
+from sessionflow.workdir import drop_table, shared_dir, write_table
 
 #: Words in the automaton; its file has a few megabytes whatever the size of the corpus.
 LEXICON_WORDS = 1 << 17
@@ -42,7 +42,10 @@ LEXICON_WORDS = 1 << 17
 LONGEST_ENTRY = 64
 #: Distinct words that a counting task holds before it hands its counts on.
 COUNTED_WORDS = 1 << 19
-MERGED_CACHE = 1 << 17
+#: Words and pieces of words whose ids a worker keeps.
+WORD_CACHE, PIECE_CACHE = 1 << 16, 1 << 17
+#: Bytes up to which a list serves better than a queue.
+SHORT_PIECE = 48
 
 # What str.split() takes for white space and Unicode does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -71,7 +74,8 @@ class Vocabulary:
         self._special = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self._pieces = regex.compile(split["pattern"]["Regex"])
-        self.merged = lru_cache(maxsize=MERGED_CACHE)(self._merge_word)
+        self.merged = lru_cache(maxsize=WORD_CACHE)(self._merge_word)
+        self.piece = lru_cache(maxsize=PIECE_CACHE)(self._merge_piece)
 
     def _merge_word(self, word: str) -> tuple[int, ...]:
         """Token ids of a word without white space."""
@@ -86,17 +90,34 @@ class Vocabulary:
     def _encode_plain(self, word: str) -> list[int]:
         # letter by letter, so that no letter looks at its neighbours
         normal = word.lower() if word.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", word)))
+        if normal.isascii() and normal.isalpha():
+            return self.piece(normal)
         found: list[int] = []
         for piece in self._pieces.findall(normal):
-            found.extend(self._merge([_BYTE_CHARS[b] for b in piece.encode()]))
+            found.extend(self.piece(piece))
         return found
 
-    def _merge(self, parts: list[str]) -> list[int]:
-        """Join the pair of the lowest rank, the leftmost first, until none is left."""
+    def _merge_piece(self, piece: str) -> list[int]:
+        parts = [_BYTE_CHARS[b] for b in piece.encode()]
         parts[-1] += self.end
-        whole = self.ids.get("".join(parts)) if len(parts) == 1 else None
-        if whole is not None:
-            return [whole]
+        return [self.ids[p] for p in (self._merge_short(parts) if len(parts) <= SHORT_PIECE else self._merge_long(parts))]
+
+    def _merge_short(self, parts: list[str]) -> list[str]:
+        """Join the pair of the lowest rank, the leftmost first, until none is left."""
+        get, none = self.ranks.get, len(self.ranks)
+        ranks = [get(p, none) for p in zip(parts, parts[1:])]
+        while ranks and (least := min(ranks)) < none:
+            i = ranks.index(least)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((parts[i - 1], parts[i]), none)
+            if i < len(ranks):
+                ranks[i] = get((parts[i], parts[i + 1]), none)
+        return parts
+
+    def _merge_long(self, parts: list[str]) -> list[str]:
+        """The same with a queue, in time proportional to the length times its logarithm."""
         right = list(range(1, len(parts) + 1))
         left = list(range(-1, len(parts) - 1))
         queue: list[tuple[int, int, str, str]] = []
@@ -122,7 +143,7 @@ class Vocabulary:
             offer(i)
             if left[i] >= 0:
                 offer(left[i])
-        return [self.ids[p] for p in parts if p]
+        return [p for p in parts if p]
 
     def decode(self, ids) -> str:
         return " ".join([self.tokens[i] for i in ids])
@@ -214,6 +235,7 @@ class Lexicon:
     def __init__(self, path: str):
         self.root, *sizes = struct.unpack("<7I", np.memmap(path, dtype=np.uint8, mode="r", shape=28).tobytes())
         whole = np.memmap(path, dtype=np.uint32, mode="r", offset=28) if sum(sizes) else np.zeros(0, dtype=np.uint32)
+        whole = whole.view(np.ndarray)  # still mapped; plain arrays are read faster
         cuts = np.cumsum(sizes)[:-1]
         self.keys, self.targets, self.outputs, self.final, self.offsets, self.ids = np.split(whole, cuts)
 
@@ -281,8 +303,9 @@ def build_lexicon(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
     At most ``words`` words of at most ``LONGEST_ENTRY`` bytes reach the driver.
     """
     spark = docs.sparkSession
-    frequent = word_counts(docs, text_col).where(F.octet_length("word") <= LONGEST_ENTRY)
-    top = frequent.orderBy(F.desc("n"), "word").limit(words).select("word").toPandas()["word"]
+    counts = write_table(word_counts(docs, text_col).where(F.octet_length("word") <= LONGEST_ENTRY), "word-counts")
+    top = [r["word"] for r in counts.where(F.col("n") >= _least_count(counts, words)).select("word").toLocalIterator()]
+    drop_table(counts)
     vocab = vocabulary(vocabulary_path)
     content = compile_lexicon({w.encode(): vocab.merged(w) for w in top})
     uri = f"{shared_dir(spark, 'lexicon')}.bin"
@@ -291,6 +314,14 @@ def build_lexicon(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
     return uri.rpartition("/")[2]
 
 
+def _least_count(counts: DataFrame, words: int) -> int:
+    """The smallest count that at most ``words`` words reach."""
+    by_count = counts.groupBy("n").agg(F.count("*").alias("words"))
+    reach = by_count.select("n", F.sum("words").over(Window.orderBy(F.desc("n"))).alias("reach"))
+    least = reach.where(F.col("reach") <= words).agg(F.min("n")).first()[0]
+    return least if least is not None else 1 << 62
+
+
 def _write_file(spark: SparkSession, uri: str, content: bytes) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
@@ -303,6 +334,7 @@ def _write_file(spark: SparkSession, uri: str, content: bytes) -> None:
 def encode(docs: DataFrame, vocabulary_path: str, lexicon: str, text_col: str = "text", with_decoded: bool = False, keep_text: bool = True) -> DataFrame:
     """The documents with ``bpe_ids`` (unsigned little-endian 32-bit integers), ``bpe_tokens`` (their number)
     and, if wanted, ``bpe_decoded``."""
+    docs = docs.drop("bpe_ids", "bpe_tokens", "bpe_decoded")
     added = [StructField("bpe_ids", BinaryType()), StructField("bpe_tokens", LongType())]
     added += [StructField("bpe_decoded", StringType())] if with_decoded else []
     kept = [f for f in docs.schema.fields if keep_text or f.name != text_col]
@@ -341,14 +373,19 @@ def _encoded(part: pa.RecordBatch, texts: list[str], vocab: Vocabulary, lexicon:
     codes = np.array([index.setdefault(w, len(index)) for w in flat], dtype=np.int64)
     distinct = list(index)
     numbers = lexicon.lookup([w.encode() for w in distinct])
-    bounds, known = lexicon.offsets, lexicon.ids
-    ids = [known[bounds[k] : bounds[k + 1]].tolist() if k >= 0 else vocab.merged(w) for k, w in zip(numbers.tolist(), distinct)]
-    lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-    table = np.fromiter((i for w in ids for i in w), dtype=np.uint32, count=int(lengths.sum()))
+    known, other = np.flatnonzero(numbers >= 0), np.flatnonzero(numbers < 0)
+    merged = [vocab.merged(distinct[i]) for i in other]
+    lengths = np.zeros(len(distinct), dtype=np.int64)
+    begin = lexicon.offsets[numbers[known]].astype(np.int64)
+    lengths[known] = lexicon.offsets[numbers[known] + 1] - begin
+    lengths[other] = list(map(len, merged))
     first = np.cumsum(lengths) - lengths
+    table = np.zeros(int(lengths.sum()), dtype=np.uint32)
+    table[_runs(first[known], lengths[known])] = lexicon.ids[_runs(begin, lengths[known])]
+    table[_runs(first[other], lengths[other])] = [i for ids in merged for i in ids]
     sizes = lengths[codes]
     ends = np.cumsum(sizes)
-    tokens = table[np.repeat(first[codes] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+    tokens = table[_runs(first[codes], sizes)]
     word_ends = np.cumsum(n_words)
     token_ends = np.concatenate([[0], ends])[word_ends]
     token_starts = np.concatenate([[0], token_ends[:-1]])
@@ -356,12 +393,14 @@ def _encoded(part: pa.RecordBatch, texts: list[str], vocab: Vocabulary, lexicon:
     columns = [*part.columns, pa.array(packed, pa.binary()), pa.array(token_ends - token_starts, pa.int64())]
     names = [*part.schema.names, "bpe_ids", "bpe_tokens"]
     if with_decoded:
-        strings = np.array([vocab.decode(w) for w in ids], dtype=object)
+        strings = [vocab.decode(table[a : a + n].tolist()) for a, n in zip(first, lengths)]
+        order = codes.tolist()
         starts = word_ends - n_words
-        decoded = [" ".join(strings[codes[a:b]]) for a, b in zip(starts, word_ends)]
+        decoded = [" ".join([strings[c] for c in order[a:b]]) for a, b in zip(starts, word_ends)]
         columns, names = [*columns, pa.array(decoded, pa.string())], [*names, "bpe_decoded"]
     return pa.RecordBatch.from_arrays(columns, names)
 
 
-def digest(content: bytes) -> str:
-    return hashlib.sha256(content).hexdigest()
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of several runs, one run after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
