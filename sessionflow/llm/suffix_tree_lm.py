@@ -99,7 +99,7 @@ class Tree:
         total = size[context].astype(float)
         parent = self._probability(d, context, word)
         n = len(size)
-        of = lambda values: np.bincount(context, values, n)
+        of = lambda values: np.bincount(context, values, n).astype(float)
         listed, covered, parts = of(counts), of(parent), of(np.ones(len(counts)))
         gain = of(counts * np.log(counts / total / parent))
         rest, other = np.maximum(size - listed, 0.0), np.maximum(1.0 - covered, 1e-12)
