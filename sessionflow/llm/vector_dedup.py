@@ -2,11 +2,12 @@
 
 Unit vectors of one label are compared. Each vector stands in the list of its nearest coarse centroid, as
 codes of the parts of its residual and the length of what the codes miss. A query goes to every list that
-can hold a partner: two unit vectors of cosine ``c`` are at most ``r = sqrt(2 - 2c)`` apart, so the list of
-a partner is at most ``2 r`` farther from the query than its nearest centroid. Within a list the
-distance to the decoded vector is added up from a table of the query's parts; it differs from the true
-one by the length that the codes miss at most, so only vectors within ``r`` plus that length are compared
-by their exact cosine, in double precision. No bound drops a pair at the threshold: all links are found.
+can hold a partner: two unit vectors of cosine ``c`` are at most ``r = sqrt(2 - 2c)`` apart, and a partner
+in the list of another centroid lies beyond the plane halfway between the two centroids, so that plane is
+at most ``r`` away from the query. Within a list the distance to the decoded vector is added up from a
+table of the query's parts; it differs from the true one by the length that the codes miss at most, so only
+vectors within ``r`` plus that length are compared by their exact cosine, in double precision. No bound
+drops a pair at the threshold: all links are found.
 
 Equal vectors of a label are one class with a number of members. Lists are worked on in tiles of a block
 of queries and a block of entries; a tile returns the number of links of each query and links that join
@@ -39,8 +40,8 @@ from sessionflow.workdir import write_table
 #: Vectors that the centroids and code books are trained on, at most.
 SAMPLE_ROWS = 8_192
 PARTS, CODES, ROUNDS = 8, 256, 8
-#: Coarse lists: the square root of the number of vectors, within these bounds.
-LEAST_LISTS, MOST_LISTS = 1, 1024
+#: Vectors of a label in a coarse list, on average, up to a number of lists.
+LIST_VECTORS, MOST_LISTS = 256, 1024
 BLOCK = 512
 
 
@@ -51,9 +52,17 @@ class Index:
     centroids: np.ndarray
     books: list[np.ndarray]
 
-    def lists(self, vectors: np.ndarray) -> np.ndarray:
-        """Distances to the coarse centroids."""
-        return np.sqrt(np.maximum(_squares(vectors, self.centroids), 0.0))
+    def nearest(self, vectors: np.ndarray) -> np.ndarray:
+        """The list of each vector."""
+        return _squares(vectors, self.centroids).argmin(axis=1)
+
+    def probes(self, vectors: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a vector and a list that may hold vectors within reach."""
+        square = _squares(vectors, self.centroids)
+        near = square.argmin(axis=1)
+        apart = np.sqrt(np.maximum(_squares(self.centroids, self.centroids), 0.0))
+        # the plane is (square' - square) / (2 * apart) away
+        return np.nonzero(square - square.min(axis=1, keepdims=True) <= 2 * reach * apart[near] + 1e-9)
 
     def encode(self, vectors: np.ndarray, nearest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of the residuals, and the lengths they miss."""
@@ -62,12 +71,12 @@ class Index:
         decoded = np.concatenate([b[codes[:, i]] for i, b in enumerate(self.books)], axis=1)
         return codes.astype(np.uint8), np.sqrt(((residual - decoded) ** 2).sum(axis=1))
 
-    def distances(self, query: np.ndarray, centroid: int, codes: np.ndarray) -> np.ndarray:
-        """From a query to the decoded entries of a list, by one table of squares for each part."""
-        total = np.zeros(len(codes))
-        for i, (part, book) in enumerate(zip(self._parts((query - self.centroids[centroid])[None]), self.books)):
-            total += ((book - part) ** 2).sum(axis=1)[codes[:, i]]
-        return np.sqrt(total)
+    def distances(self, queries: np.ndarray, centroid: int, codes: np.ndarray) -> np.ndarray:
+        """From queries to the decoded entries of a list, by a table of squares for each part."""
+        total = np.zeros((len(queries), len(codes)))
+        for i, (part, book) in enumerate(zip(self._parts(queries - self.centroids[centroid]), self.books)):
+            total += _squares(part, book)[:, codes[:, i]]
+        return np.sqrt(np.maximum(total, 0.0))
 
     def _parts(self, vectors: np.ndarray) -> list[np.ndarray]:
         return np.array_split(vectors, len(self.books), axis=1)
@@ -144,7 +153,8 @@ def near_duplicates(
 def _class_links(classes: DataFrame, threshold: float) -> DataFrame:
     """``rep, label, others, joins``: for a tile's queries the members linked to, and representatives to join."""
     schema = "rep long, label int, others long, joins array<long>"
-    sizes = classes.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n")).collect()
+    per_label = (F.count("*") / F.count_distinct("label")).cast("bigint")
+    sizes = classes.groupBy(F.size("vector").alias("size")).agg(per_label.alias("n")).collect()
     made = None
     for size, n in sorted((r["size"], r["n"]) for r in sizes):
         part = _size_links(classes.where(F.size("vector") == size), size, n, threshold, schema)
@@ -154,7 +164,7 @@ def _class_links(classes: DataFrame, threshold: float) -> DataFrame:
 
 def _size_links(classes: DataFrame, size: int, n: int, threshold: float, schema: str) -> DataFrame:
     sample = classes.orderBy(F.xxhash64("mark"), "rep").limit(SAMPLE_ROWS).select("vector").toArrow().column("vector")
-    index = train(_unit(sample), min(MOST_LISTS, max(LEAST_LISTS, math.isqrt(n))))
+    index = train(_unit(sample), min(MOST_LISTS, n // LIST_VECTORS + 1))
     # a little more than the threshold needs, for rounding
     reach = math.sqrt(max(2.0 - 2.0 * threshold, 0.0)) + 1e-6
     shared = classes.sparkSession.sparkContext.broadcast(index)
@@ -163,7 +173,7 @@ def _size_links(classes: DataFrame, size: int, n: int, threshold: float, schema:
         for batch in batches:
             if batch.num_rows:
                 vectors = _unit(batch.column("vector"))
-                near = shared.value.lists(vectors).argmin(axis=1)
+                near = shared.value.nearest(vectors)
                 codes, missed = shared.value.encode(vectors, near)
                 added = [pa.array(near, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(missed)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "list", "codes", "missed"])
@@ -171,8 +181,7 @@ def _size_links(classes: DataFrame, size: int, n: int, threshold: float, schema:
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                distance = shared.value.lists(_unit(batch.column("vector")))
-                query, target = np.nonzero(distance <= distance.min(axis=1, keepdims=True) + 2 * reach)
+                query, target = shared.value.probes(_unit(batch.column("vector")), reach)
                 taken = batch.take(pa.array(query))
                 yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(target, pa.int32())], [*taken.schema.names, "list"])
 
@@ -196,10 +205,17 @@ def _tile(shared, reach: float, threshold: float):
             return pd.DataFrame({"rep": [], "label": [], "others": [], "joins": []})
         label, centroid = int(entries["label"].iloc[0]), int(entries["list"].iloc[0])
         codes = np.frombuffer(b"".join(entries["codes"]), np.uint8).reshape(len(entries), -1)
-        limit = reach + entries["missed"].to_numpy() + 1e-9
-        reps, members = entries["rep"].to_numpy(), entries["members"].to_numpy()
-        vectors = np.array(entries["vector"].tolist())
-        norms = np.sqrt((vectors**2).sum(axis=1))
+        limit = reach + entries["missed"].to_numpy() + 1e-7
+        reps, members, asking = entries["rep"].to_numpy(), entries["members"].to_numpy(), queries["rep"].to_numpy()
+        vectors, asked = _scaled(entries["vector"]), _scaled(queries["vector"])
+        norms, lengths = (np.sqrt((v**2).sum(axis=1)) for v in (vectors, asked))
+        near = shared.value.distances(asked / lengths[:, None], centroid, codes) <= limit
+        near &= asking[:, None] != reps
+        query, entry = np.nonzero(near)
+        cosine = np.concatenate([_dots(asked[query[i : i + STEP]], vectors[entry[i : i + STEP]]) for i in range(0, len(query) + 1, STEP)])
+        linked = cosine >= threshold * lengths[query] * norms[entry]
+        query, entry = query[linked], entry[linked]
+        others = np.bincount(query, members[entry], len(queries)).astype(np.int64)
         root: dict[int, int] = {}
 
         def top(x: int) -> int:
@@ -207,22 +223,27 @@ def _tile(shared, reach: float, threshold: float):
                 x = root[x]
             return x
 
-        rows = []
-        asked = np.array(queries["vector"].tolist())
-        lengths = np.sqrt((asked**2).sum(axis=1))
-        for rep, query, length in zip(queries["rep"].tolist(), asked, lengths):
-            near = np.flatnonzero((shared.value.distances(query / length, centroid, codes) <= limit) & (reps != rep))
-            if len(near):
-                cosine = vectors[near] @ query / (norms[near] * length)
-                near = near[cosine >= threshold]
-            if len(near):
-                joins = []
-                for other in reps[near].tolist():
-                    a, b = top(rep), top(other)
-                    if a != b:
-                        root[max(a, b)] = min(a, b)
-                        joins.append(other)
-                rows.append((rep, label, int(members[near].sum()), joins))
+        joins: dict[int, list[int]] = {}
+        for q, other in zip(query.tolist(), reps[entry].tolist()):
+            a, b = top(int(asking[q])), top(other)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                joins.setdefault(q, []).append(other)
+        rows = [(int(asking[q]), label, int(others[q]), joins.get(q, [])) for q in np.flatnonzero(others).tolist()]
         return pd.DataFrame(rows, columns=["rep", "label", "others", "joins"])
 
     return link
+
+
+#: Pairs whose exact cosines are computed at once.
+STEP = 1 << 16
+
+
+def _scaled(column: pd.Series) -> np.ndarray:
+    """Vectors divided by their largest component, which leaves cosines as they are."""
+    vectors = np.array(column.tolist(), dtype=np.float64)
+    return vectors / np.abs(vectors).max(axis=1, keepdims=True)
+
+
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", a, b)

@@ -83,10 +83,23 @@ def test_quantised_distances_bound_the_true_ones():
     rnd = np.random.default_rng(4)
     sample = rnd.normal(size=(500, 16))
     index = vector_dedup.train(sample, 10)
-    near = index.lists(sample).argmin(axis=1)
+    near = index.nearest(sample)
     codes, missed = index.encode(sample, near)
     for centroid in range(3):
         inside = np.flatnonzero(near == centroid)
-        about = index.distances(sample[0], centroid, codes[inside])
-        true = np.sqrt(((sample[inside] - sample[0]) ** 2).sum(axis=1))
+        about = index.distances(sample[:5], centroid, codes[inside])
+        true = np.sqrt(((sample[inside] - sample[:5, None]) ** 2).sum(axis=2))
         assert (np.abs(about - true) <= missed[inside] + 1e-9).all()
+
+
+def test_probes_reach_all_neighbours():
+    rnd = np.random.default_rng(6)
+    sample = rnd.normal(size=(800, 6))
+    index, reach = vector_dedup.train(sample, 25), 0.8
+    near = index.nearest(sample)
+    probed = np.zeros((len(sample), 25), bool)
+    probed[index.probes(sample, reach)] = True
+    assert probed.mean() < 0.8
+    close = np.sqrt(((sample[:, None] - sample) ** 2).sum(axis=2)) <= reach
+    for i, j in zip(*np.nonzero(close)):
+        assert probed[i, near[j]]
