@@ -28,7 +28,8 @@ from sessionflow.streaming import collect, jobs, native, stateful  # noqa: E402
 from sessionflow.streaming.runner import run_available_now  # noqa: E402
 from sessionflow.workdir import shared_dir  # noqa: E402
 
-CUT = 40
+#: In front of the line of an error it makes a line that cannot be parsed.
+SPOILT = "broken "
 GAP_MS = 21_600_000
 TRIP = dict(key="user_id", ts="ts", measure="event_id", tiebreak="event_id", gap_ms=GAP_MS)
 
@@ -51,18 +52,18 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoned(parquet_stream(spark, f"{sf_dir}/events.parquet"), "ts")
 
 
-def _json_lines(events: DataFrame, **fields) -> DataFrame:
-    """Events as lines; those of errors are cut off and cannot be parsed."""
+def _json_lines(events: DataFrame, spoil: bool = False, **fields) -> DataFrame:
+    """Events as lines; with ``spoil`` those of errors cannot be parsed."""
     line = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
-    cut = F.substring(line, 1, CUT)
-    return events.select(
-        F.when(F.col("event_type") == "error", cut).otherwise(line).alias("value")
-    )
+    spoilt = F.concat(F.lit(SPOILT), line)
+    bad = F.lit(spoil) & (F.col("event_type") == "error")
+    return events.select(F.when(bad, spoilt).otherwise(line).alias("value"))
 
 
-def _vehicle_lines(events: DataFrame) -> DataFrame:
+def _vehicle_lines(events: DataFrame, spoil: bool = False) -> DataFrame:
     return _json_lines(
         events,
+        spoil,
         vin=F.col("user_id").cast("string"),
         createTime=epoch_ms("ts").cast("string"),
         mileage=F.col("event_id"),
@@ -73,22 +74,24 @@ def _wall_clock(ts: str = "ts"):
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
-def _user_lines(events: DataFrame) -> DataFrame:
+def _user_lines(events: DataFrame, spoil: bool = False) -> DataFrame:
     return _json_lines(
         events,
+        spoil,
         userId=F.col("user_id").cast("string"),
         eventType=F.col("event_type"),
         eventTime=_wall_clock(),
     )
 
 
-def _station_lines(events: DataFrame) -> DataFrame:
-    return _json_lines(events, station_id=F.col("user_id").cast("string"), data_time=_wall_clock())
+def _station_lines(events: DataFrame, spoil: bool = False) -> DataFrame:
+    return _json_lines(events, spoil, station_id=F.col("user_id").cast("string"), data_time=_wall_clock())
 
 
-def _session_lines(events: DataFrame) -> DataFrame:
+def _session_lines(events: DataFrame, spoil: bool = False) -> DataFrame:
     return _json_lines(
         events,
+        spoil,
         id=F.col("user_id"),
         greet=F.col("event_type"),
         isLast=F.col("event_type") == "purchase",
@@ -96,9 +99,10 @@ def _session_lines(events: DataFrame) -> DataFrame:
     )
 
 
-def _login_lines(events: DataFrame) -> DataFrame:
+def _login_lines(events: DataFrame, spoil: bool = False) -> DataFrame:
     return _json_lines(
         events,
+        spoil,
         event_time=F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"),
         user_id=F.col("user_id").cast("string"),
     )
@@ -176,27 +180,27 @@ def q_envelope_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_parse_vehicle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = parsing.valid(parsing.parse_vehicle(_vehicle_lines(_events(spark, sf_dir))))
+    good = parsing.valid(parsing.parse_vehicle(_vehicle_lines(_events(spark, sf_dir), spoil=True)))
     return good.select("vin", epoch_ms("createTime").alias("create_ms"), "mileage")
 
 
 def q_parse_user_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = parsing.valid(parsing.parse_user_event(_user_lines(_events(spark, sf_dir))))
+    good = parsing.valid(parsing.parse_user_event(_user_lines(_events(spark, sf_dir), spoil=True)))
     return good.select(epoch_ms("eventTime").alias("event_ms"), "eventType", "userId")
 
 
 def q_parse_station(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = parsing.valid(parsing.parse_station(_station_lines(_events(spark, sf_dir))))
+    good = parsing.valid(parsing.parse_station(_station_lines(_events(spark, sf_dir), spoil=True)))
     return good.select("stationId", epoch_ms("dataTime").alias("data_ms"))
 
 
 def q_parse_session_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _session_lines(_events(spark, sf_dir))
+    lines = _session_lines(_events(spark, sf_dir), spoil=True)
     return parsing.valid(parsing.parse_session_event(lines, order="seq"))
 
 
 def q_parse_login(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = parsing.valid(parsing.parse_login(_login_lines(_events(spark, sf_dir))))
+    good = parsing.valid(parsing.parse_login(_login_lines(_events(spark, sf_dir), spoil=True)))
     return good.select(epoch_ms("event_time").alias("event_ms"), "user_id")
 
 
@@ -207,7 +211,7 @@ def q_read_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parsing.quarantine(parsing.parse_vehicle(_vehicle_lines(_events(spark, sf_dir))))
+    return parsing.quarantine(parsing.parse_vehicle(_vehicle_lines(_events(spark, sf_dir), spoil=True)))
 
 
 def q_local_time_to_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -390,11 +394,11 @@ _SPAN_COLUMNS = """user_id, a as "startTimestampMs", b as "endTimestampMs", b -
 _SPAN_EXPIRING = f"""{_SPAN} select {_SPAN_COLUMNS}, false as expired from s
 union all select {_SPAN_COLUMNS}, true from s
 where b + 1800000 < (select max(b) from s) - 3600000"""
-_VEHICLE_SOURCE = f"""select cast(user_id as varchar) as k, epoch_us(ts) // 1000 as t,
-  event_id as o {_GOOD}"""
-_JOB_COUNTS = f"""select cast(user_id as varchar) as "userId", event_type as "eventType",
-  count(*) as "eventCount" {_GOOD} group by 1, 2"""
-_STATION_SOURCE = f"select cast(user_id as varchar) as k, {_SECOND_MS} as t, 0 as o {_GOOD}"
+_VEHICLE_SOURCE = """select cast(user_id as varchar) as k, epoch_us(ts) // 1000 as t,
+  event_id as o from events"""
+_JOB_COUNTS = """select cast(user_id as varchar) as "userId", event_type as "eventType",
+  count(*) as "eventCount" from events group by 1, 2"""
+_STATION_SOURCE = f"select cast(user_id as varchar) as k, {_SECOND_MS} as t, 0 as o from events"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -433,8 +437,8 @@ def _own_sql() -> dict[str, str]:
         "parse_login": f"""select epoch_us(ts) // 1000 as event_ms,
             cast(user_id as varchar) as user_id {_GOOD}""",
         "read_json": "select event_id, user_id, event_type from events",
-        "quarantine": """select substr('{"vin":"' || user_id || '","createTime":"' ||
-            epoch_us(ts) // 1000 || '","mileage":' || event_id || '}', 1, 40)
+        "quarantine": """select 'broken {"vin":"' || user_id || '","createTime":"' ||
+            epoch_us(ts) // 1000 || '","mileage":' || event_id || '}'
             as "value" from events where event_type = 'error'""",
         "local_time_to_utc": f"select event_id, {_SECOND_MS} as utc_ms from events",
         "stream_trips_native": _TRIPS,
@@ -461,12 +465,12 @@ def _own_sql() -> dict[str, str]:
             from ({_STATION_ROWS} {_TIMED_OUT_STATION})""",
         "job_counts": _JOB_COUNTS,
         "job_expiring_counts": _JOB_COUNTS,
-        "job_sessions": f"""select cast(user_id as int) as id, count(*) as n,
+        "job_sessions": """select cast(user_id as int) as id, count(*) as n,
             count(*) filter (event_type = 'purchase') as closing,
-            string_agg(event_type, ',' order by event_type) as greets {_GOOD} group by user_id
+            string_agg(event_type, ',' order by event_type) as greets from events group by user_id
             having bool_or(event_type = 'purchase')""",
-        "job_spans": f"""with e as (select cast(user_id as varchar) as u, epoch_us(ts) // 1000 as t
-            {_GOOD}), s as (select u, min(t) as a, max(t) as b from e group by u),
+        "job_spans": """with e as (select cast(user_id as varchar) as u, epoch_us(ts) // 1000 as t
+            from events), s as (select u, min(t) as a, max(t) as b from e group by u),
             r as (select u, a, b, false as expired from s union all select u, a, b, true from s
             where b + 1800000 < (select max(b) from s) - 3600000)
             select u as "userId", a as "startTimestampMs", b as "endTimestampMs",

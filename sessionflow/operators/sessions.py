@@ -29,12 +29,13 @@ def closed_session_events(
     ``orders_per_block`` values, hence at most that many rows. Closings are first counted per
     block, with map-side partials, and summed over the blocks of a key; then each block numbers
     its own rows. No task ever holds all rows of a key, and open ends leave before any list is
-    made.
+    made. Rows without an order are refused; a null key is a key of its own.
     """
     keys = key_list(key)
     closes = F.coalesce(F.col(is_last) if isinstance(is_last, str) else is_last, F.lit(False))
+    number = F.coalesce(F.col(order).cast("bigint"), F.raise_error(F.lit(f"an event has no {order}")).cast("bigint"))
     rows = df.withColumn("_closes", closes.cast("bigint")).withColumn(
-        "_block", floor_div(F.col(order).cast("bigint"), orders_per_block)
+        "_block", floor_div(number, orders_per_block)
     )
 
     per_key = Window.partitionBy(*keys)
@@ -44,14 +45,22 @@ def closed_session_events(
         .withColumn("_upto", F.sum("_here").over(per_key.orderBy("_block")))
         .withColumn("_all", F.sum("_here").over(per_key))
         .where("_all > 0")
-        .select(*keys, "_block", (F.col("_upto") - F.col("_here")).alias("_before"), "_all")
+        .select(
+            *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+            F.col("_block").alias("_of"),
+            (F.col("_upto") - F.col("_here")).alias("_before"),
+            "_all",
+        )
     )
+    same = F.col("_block") == F.col("_of")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
 
     inside = Window.partitionBy(*keys, "_block").orderBy(order)
     earlier = F.coalesce(F.sum("_closes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (
         rows.withColumn("_earlier", earlier)
-        .join(closings, [*keys, "_block"])
+        .join(closings, same)
         .withColumn("sessionNo", F.col("_before") + F.col("_earlier"))
         .where(F.col("sessionNo") < F.col("_all"))
         .select(*df.columns, "sessionNo")

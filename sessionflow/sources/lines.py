@@ -60,6 +60,16 @@ def kafka_stream(spark: SparkSession, **options) -> DataFrame:
     return stream.selectExpr("cast(value as string) as value")
 
 
-def with_backlog(recorded: DataFrame, live: DataFrame) -> DataFrame:
-    """Recorded lines together with live ones, as one stream."""
-    return recorded.select("value").unionByName(live.select("value"))
+def with_backlog(
+    spark: SparkSession, recorded: str, live: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Lines of a folder of recorded files, and after them those of a folder that live files come to.
+
+    Both are folders of one parent and one source: files are taken by their age, so recorded ones, which
+    are older, are read before live ones move the watermark.
+    """
+    parent, _, first = recorded.rstrip("/").rpartition("/")
+    other, _, second = live.rstrip("/").rpartition("/")
+    if parent != other:
+        raise ValueError("recorded and live files need folders side by side")
+    return text_stream(spark, f"{parent}/{{{first},{second}}}", max_files_per_trigger)

@@ -1,9 +1,8 @@
 """Time cells: what keyed-state operators receive in place of single rows.
 
 Rows of a key within ``gap_ms + 1`` ms of each other belong together, whatever comes between. So
-before the shuffle each task reduces its rows to one per (key, cell), spread over all tasks, and a
-key that sends a third of all rows reaches its state function as a few cells. There cells are
-merged again, chunk by chunk: memory follows the time span of a micro-batch, not its rows.
+before the shuffle each task can reduce its rows to one per (key, cell), and a key that sends a third
+of all rows then reaches its state function as a few cells. There cells are merged again, chunk by chunk: memory follows the time span of a micro-batch, not its rows.
 
 A cell carries its first and last time with their tiebreak and measure, and its number of rows.
 """
@@ -37,7 +36,7 @@ def as_cells(
     watermark: str,
     measure: str | None = None,
     tiebreak: str | None = None,
-    pre_aggregate: bool = True,
+    pre_aggregate: bool = False,
     fields: Sequence[str] = FIELDS,
 ) -> DataFrame:
     """Cells of a stream: the keys, ``cell`` with the wanted fields, and the last time of each as
@@ -46,9 +45,9 @@ def as_cells(
     The fields are packed into one array, because what a state function costs per key is mostly
     the conversion of its columns.
 
-    With ``pre_aggregate`` lateness is decided per cell: rows that are late by less than a cell
-    are kept if their task had a row of the same cell in time. Without it every row is a cell of
-    its own and lateness is exact, but a busy key puts all its rows into one task.
+    Every row is a cell of its own by default, and lateness is exact to the row. With ``pre_aggregate``
+    a cell stands at its end, for the clock too, which runs ahead by less than a cell. Rows of a cell are
+    then late together or not at all, however they are laid out over tasks.
     """
     zero = F.lit(0).cast("bigint")
     rows = df.select(
@@ -59,13 +58,15 @@ def as_cells(
     )
     if pre_aggregate:
         cells = _reduced(rows.withColumn("_cell", floor_div(F.col("_t"), width_ms)), keys)
+        bound = (floor_div(F.col("t1"), width_ms) + 1) * width_ms - 1
     else:
+        bound = F.col("t1")
         cells = rows.select(
             *keys,
             *[F.col(c).alias(f) for f, c in zip((*START, *END), ("_t", "_o", "_m") * 2)],
             F.lit(1).cast("bigint").alias("n"),
         )
-    packed = cells.select(*keys, F.array(*fields).alias("cell"), from_epoch_ms("t1").alias("_at"))
+    packed = cells.select(*keys, F.array(*fields).alias("cell"), from_epoch_ms(bound).alias("_at"))
     return packed.withWatermark("_at", watermark)
 
 
@@ -79,6 +80,7 @@ def _reduced(rows: DataFrame, keys: list[str]) -> DataFrame:
     longs = T.StructType([T.StructField(f, T.LongType()) for f in FIELDS])
     picks = [(c, end) for end in ("first", "last") for c in ("_t", "_o", "_m")]
     picked = [f"{c}_{end}" for c, end in picks] + ["count_all"]
+    rows_held = ROWS_PER_REDUCTION
 
     def reduce(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
         nulls = pc.ScalarAggregateOptions(skip_nulls=False)
@@ -92,7 +94,7 @@ def _reduced(rows: DataFrame, keys: list[str]) -> DataFrame:
         for batch in batches:
             held.append(batch)
             size += batch.num_rows
-            if size >= ROWS_PER_REDUCTION:
+            if size >= rows_held:
                 yield from reduce(held)
                 held, size = [], 0
         if size:

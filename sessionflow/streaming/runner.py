@@ -6,10 +6,11 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sessionflow.streaming import sinks
-from sessionflow.workdir import shared_dir
+from sessionflow.workdir import remove_folder, shared_dir
 
 # State lives in RocksDB, outside the heap of the executors, and checkpoints hold its changes
 # instead of a snapshot per micro-batch. Session windows are joined in each task before the
@@ -61,14 +62,18 @@ def run_available_now(
 ) -> DataFrame:
     """Process everything available and read the output back.
 
-    The result has a column ``batch_id``. With the same ``folder`` a later call goes on from the
+    In complete mode, where each micro-batch holds the whole result, that of the last one is read. The
+    result has a column ``batch_id``. With the same ``folder`` a later call goes on from the
     checkpoint of the one before. ``timeouts`` lets the watermark set off event-time timeouts at
     the end. Turn it off for processing-time timeouts: they would keep the query waiting for the
     clock for ever.
     """
     spark = df.sparkSession
+    temporary = folder is None
     folder = folder or shared_dir(spark, name)
     now = {"availableNow": True}
     writer = sinks.parquet(df, f"{folder}/out", f"{folder}/checkpoint", mode, now)
     start(writer, spark, timeouts).awaitTermination()
-    return sinks.read_batches(spark, f"{folder}/out", df.schema)
+    found = sinks.read_batches(spark, f"{folder}/out", df.schema)
+    remove_folder(spark, f"{folder}/checkpoint") if temporary else None
+    return found.where(F.col("batch_id") == found.agg(F.max("batch_id")).scalar()) if mode == "complete" else found

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
+
+from sessionflow.workdir import folder_exists
 
 
 def console(
@@ -75,13 +78,18 @@ def _configured(
 
 
 def read_batches(spark, out_dir: str, schema: T.StructType) -> DataFrame:
-    """What ``parquet`` has written so far, with the ``batch_id`` of each row."""
+    """What ``parquet`` has written so far, with the ``batch_id`` of each row; nothing at first."""
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    if not folder_exists(spark, out_dir):  # no micro-batch has run
+        return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(out_dir)
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped because they were older than the watermark, over the recent micro-batches."""
+    """Rows dropped because they were older than the watermark, over the recent micro-batches.
+
+    ``LateRows`` counts over all of them.
+    """
     return sum(
         int(op.get("numRowsDroppedByWatermark", 0))
         for progress in query.recentProgress
@@ -89,6 +97,25 @@ def late_rows(query: StreamingQuery) -> int:
     )
 
 
+class LateRows(StreamingQueryListener):
+    """Adds up the late rows of all queries it hears of: ``spark.streams.addListener(LateRows())``."""
+
+    def __init__(self) -> None:
+        self.total = 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.total += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def latest(batches: DataFrame, keys: list[str]) -> DataFrame:
     """The newest row of each key, as updates to a running value leave several."""
     rest = [c for c in batches.columns if c not in [*keys, "batch_id"]]

@@ -1,10 +1,9 @@
 """Keyed-state operators on streams.
 
-Rows are first reduced to time cells (``streaming.cells``), in the tasks that read them. Cells reach
-a state function as Arrow batches grouped by key, after late ones have been dropped by the
+With ``pre_aggregate=True`` rows are first reduced to time cells (``streaming.cells``), in the tasks that
+read them; by default each row is a cell, and lateness is exact to the row. Cells reach a state function as Arrow batches grouped by key, after late ones have been dropped by the
 watermark. Each function folds the batches one at a time and keeps a small state per key; the rows
 of a key are never put together. Micro-batches should be bounded by the rate limits of the sources.
-``pre_aggregate=False`` leaves the reduction out, for lateness exact to the row.
 
 What these operators emit depends on how rows fall into micro-batches; the operators on tables
 define the same sessions independent of that.
@@ -63,7 +62,8 @@ def _frame(keys: list[str], key: Key, **columns) -> pd.DataFrame:
 
 
 def _arm(state: GroupState, timeout_ms: int) -> None:
-    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + timeout_ms)
+    now = state.getCurrentWatermarkMs()
+    state.setTimeoutTimestamp(max(now + timeout_ms, now + 1))
 
 
 # --- trips ---------------------------------------------------------------------------------------
@@ -121,7 +121,7 @@ def trips(
     timeout_ms: int = STATE_TIMEOUT_MS,
     watermark: str = WATERMARK,
     end_may_recede: bool = False,
-    pre_aggregate: bool = True,
+    pre_aggregate: bool = False,
 ) -> DataFrame:
     """Trips as they complete.
 
@@ -144,7 +144,7 @@ def trip_status(
     timeout_ms: int = STATE_TIMEOUT_MS,
     watermark: str = WATERMARK,
     end_may_recede: bool = False,
-    pre_aggregate: bool = True,
+    pre_aggregate: bool = False,
 ) -> DataFrame:
     """``trips``, and in each micro-batch a row for the trip that goes on.
 
@@ -195,7 +195,7 @@ def station_outages(
     timeout_ms: int = STATE_TIMEOUT_MS,
     watermark: str = WATERMARK,
     end_may_recede: bool = False,
-    pre_aggregate: bool = True,
+    pre_aggregate: bool = False,
 ) -> DataFrame:
     """Outages of stations (``status`` true) and running transfers (``status`` false).
 
@@ -232,7 +232,7 @@ def pv_counts_expiring(
     ts: str = "eventTime",
     timeout_ms: int = STATE_TIMEOUT_MS,
     watermark: str = WATERMARK,
-    pre_aggregate: bool = True,
+    pre_aggregate: bool = False,
 ) -> DataFrame:
     """Running count of each key with new rows. A silent key expires without a row and restarts.
 
@@ -271,9 +271,15 @@ def _span_function(keys: list[str], timeout_ms: int):
             cells = unpack(chunk, SPANNED)
             bounds.append((int(cells["t0"].min()), int(cells["t1"].max())))
         start, end = min(b[0] for b in bounds), max(b[1] for b in bounds)
-        state.update((start, end))
-        state.setTimeoutTimestamp(end + timeout_ms)
         yield row(key, start, end, False)
+        deadline = end + timeout_ms
+        # the clock may have leapt past the deadline within the micro-batch
+        if deadline <= max(state.getCurrentWatermarkMs(), 0):
+            state.remove()
+            yield row(key, start, end, True)
+        else:
+            state.update((start, end))
+            state.setTimeoutTimestamp(deadline)
 
     return fold
 
@@ -284,7 +290,7 @@ def activity_span(
     ts: str = "event_time",
     timeout_ms: int = SPAN_TIMEOUT_MS,
     watermark: str = SPAN_WATERMARK,
-    pre_aggregate: bool = True,
+    pre_aggregate: bool = False,
 ) -> DataFrame:
     """First and last time of each user, whatever the pauses, while the state lives.
 

@@ -41,6 +41,11 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def drop_table(table: DataFrame) -> None:
     """Delete a table of ``write_table`` that no later read needs."""
     folders = {f.rpartition("/")[0] for f in table.inputFiles()}

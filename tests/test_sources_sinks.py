@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 
 from sessionflow import schemas
@@ -37,9 +38,9 @@ def test_backlog_comes_with_live_lines(spark, tmp_path):
     for name, text in {"recorded": "old\n", "live": "new\n"}.items():
         (tmp_path / name).mkdir()
         (tmp_path / name / "a.txt").write_text(text)
-    both = lines.with_backlog(
-        lines.text_stream(spark, f"{tmp_path}/recorded"), lines.text_stream(spark, f"{tmp_path}/live")
-    )
+    both = lines.with_backlog(spark, f"{tmp_path}/recorded", f"{tmp_path}/live")
+    with pytest.raises(ValueError):
+        lines.with_backlog(spark, "/a/recorded", "/b/live")
     assert rows(run_available_now(both, "both", "append").select("value")) == [("new",), ("old",)]
 
 
@@ -52,10 +53,47 @@ def test_table_stream_of_a_folder_and_of_a_file(spark, tmp_path):
 
 
 def test_parquet_sink_replaces_a_repeated_batch(spark, tmp_path):
-    df = spark.createDataFrame([("k", "v")], schemas.ENVELOPE)
-    for _ in range(2):
-        df.write.mode("overwrite").parquet(f"{tmp_path}/batch_id=3")
-    assert rows(sinks.read_batches(spark, str(tmp_path), schemas.ENVELOPE)) == [("k", "v", 3)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("x\n")
+    out = str(tmp_path / "out")
+    for run in range(2):  # a checkpoint that knows of no micro-batch makes the first one run again
+        stream = lines.text_stream(spark, str(tmp_path / "in"))
+        writer = sinks.parquet(stream, out, str(tmp_path / f"checkpoint{run}"), "append", {"availableNow": True})
+        writer.start().awaitTermination()
+    assert rows(sinks.read_batches(spark, out, stream.schema)) == [("x", 0)]
+
+
+def test_nothing_was_written(spark, tmp_path):
+    assert sinks.read_batches(spark, str(tmp_path / "none"), schemas.ENVELOPE).collect() == []
+
+
+def test_complete_mode_gives_the_last_result(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.txt").write_text("x\n" * (i + 1))
+    counted = lines.text_stream(spark, str(tmp_path), 1).groupBy("value").count()
+    assert rows(run_available_now(counted, "complete", "complete").select("value", "count")) == [("x", 6)]
+
+
+@pytest.mark.parametrize("known", ["spark.checkpoint.dir", "spark.sql.streaming.checkpointLocation", "spark.sql.warehouse.dir"])
+def test_shared_dir_order(known):
+    values = {known: "hdfs://host/place/", "spark.sql.warehouse.dir": "hdfs://host/place"}
+    assert shared_dir(FakeSession(values, "spark://host"), "x").startswith("hdfs://host/place/sessionflow/x-")
+
+
+def test_local_warehouse_is_refused_on_a_cluster():
+    values = {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}
+    assert shared_dir(FakeSession(values, "local[2]"), "x").startswith("file:/tmp/warehouse/")
+    with pytest.raises(ValueError):
+        shared_dir(FakeSession(values, "spark://host"), "x")
+
+
+class FakeSession:
+    def __init__(self, values, master):
+        self.conf, self.sparkContext = self, self
+        self.values, self.master = values, master
+
+    def get(self, name, default=None):
+        return self.values.get(name, default)
 
 
 def test_console_job(spark, tmp_path):

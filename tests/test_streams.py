@@ -239,7 +239,7 @@ def test_pre_aggregation_keeps_types_and_counts(spark):
     df = spark.range(0, 5000, 1, 3).select(
         (F.col("id") % 3).cast("int").alias("k"), F.timestamp_millis(F.col("id") * 7).alias("ts"), F.col("id").alias("m")
     )
-    got = cells.as_cells(df, ["k"], "ts", 1000, "5 minutes", "m", "m")
+    got = cells.as_cells(df, ["k"], "ts", 1000, "5 minutes", "m", "m", pre_aggregate=True)
     plain = df.groupBy("k", F.expr("(m * 7) div 1000").alias("c")).agg(
         F.min("m").alias("m0"), F.max("m").alias("m1"), F.count("*").alias("n")
     )
