@@ -36,12 +36,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that stand in a document with a smaller id; a text that is all repeats goes."""
-    cut = suffix_dedup.remove_repeats(docs, length=REPEAT_BYTES, whole_characters=True)
-    text = F.decode("suffix_kept", "UTF-8")
-    left = cut.where((F.col("suffix_removed") == 0) | (F.length(F.trim(text)) > 0))
-    changed = {"text": text, "n_chars": F.char_length(text).cast("bigint")}
-    columns = [F.when(F.col("suffix_removed") > 0, changed[c]).otherwise(F.col(c)).alias(c) if c == "n_chars" else changed.get(c, F.col(c)).alias(c) for c in docs.columns]
-    return left.select(columns)
+    marked = docs.withColumn("suffix_null", F.col("text").isNull())
+    cut = suffix_dedup.remove_repeats(marked, length=REPEAT_BYTES, whole_characters=True)
+    touched = F.col("suffix_removed") > 0
+    text = F.when(~F.col("suffix_null"), F.decode("suffix_kept", "UTF-8"))
+    left = cut.withColumn("text", text).where(~touched | (F.length(F.trim("text")) > 0))
+    return left.withColumn("n_chars", F.when(touched, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,3 +80,19 @@ def test_pipeline(spark, sf_dir):
 
 def test_run_gives_the_last_stage(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).columns == ["doc_id", "lang", "source", "n_tokens", "token_ids"]
+
+
+def test_stages_bear_odd_rows(spark, tmp_path):
+    """Nulls, blanks, copies and repeated rows pass all stages; a null text stays null where nothing is cut."""
+    passage = "a passage of more than fifty bytes that stands in two of the documents here"
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, f"{passage} one", "en", "a", 5), (4, f"other words before {passage}", "en", None, 5), (5, passage, None, "b", 5), (5, passage, None, "b", 5), (None, "no id", "en", "a", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    cut = {(r["doc_id"], r["text"]) for r in corpus_pipeline.cut_repeats(spark, docs, str(tmp_path)).collect()}
+    assert cut == {(1, None), (2, ""), (3, f"{passage} one"), (4, "other words before"), (None, "no id")} or (4, "other words before ") in cut
+    for frame in (docs, docs.limit(0)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            frame = stage(spark, frame, str(tmp_path))
+            assert frame.columns == docs.columns
+            frame.collect()
+        corpus_pipeline.encode(spark, frame, str(tmp_path)).collect()
