@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from sessionflow.llm.labelled import labelled_sample
+from sessionflow.workdir import write_table
 
 #: Labelled documents that are fitted on, at most.
 SAMPLE_ROWS = 12_000
@@ -76,29 +77,44 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on a bounded sample; only feature counts of its documents reach the driver."""
+    """Fit on a bounded sample; only counts of features that tell toxic documents apart reach the driver."""
     sample = labelled_sample(docs, labels, label, sample_rows)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [text_features(t or "") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("label"),
-                    pa.array([np.fromiter(f, np.int32, len(f)).tobytes() for f in found], pa.binary()),
-                    pa.array([np.fromiter(f.values(), np.int32, len(f)).tobytes() for f in found], pa.binary()),
-                ],
-                ["label", "features", "counts"],
-            )
+            features = pa.array([list(f) for f in found], pa.list_(pa.int32()))
+            counts = pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), features, counts], ["label", "features", "counts"])
+
+    rows = write_table(sample.mapInArrow(extract, "label int, features array<int>, counts array<int>"), "toxicity-sample")
+    toxic = F.col("label") > 0
+    size = rows.agg(F.count_if(toxic).alias("toxic"), F.count_if(~toxic).alias("clean")).first()
+    if not size["toxic"]:
+        return Model()
+    by_feature = rows.select(toxic.alias("bad"), F.explode("features").alias("feature")).groupBy("feature")
+    counted = by_feature.agg(F.count_if("bad").alias("seen"), F.count_if(~F.col("bad")).alias("clean"))
+    telling = counted.where(_telling(F.col("seen"), F.col("clean"), size["toxic"], size["clean"]))
+    used = np.sort(telling.select("feature").toArrow().column(0).to_numpy())
+
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("features").to_pylist(), batch.column("counts").to_pylist())
+            kept = [[(a, b) for a, b, k in zip(f, n, np.isin(f, used)) if k] for f, n in pairs]
+            columns = [pa.array([[p[i] for p in k] for k in kept], pa.list_(pa.int32())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), *columns], ["label", "features", "counts"])
 
     # ordered, so that sums of floats come out the same each time
-    rows = sample.mapInArrow(extract, "label int, features binary, counts binary").toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["label"], r["features"], r["counts"]))
-    if not any(r["label"] > 0 for r in rows):
-        return Model()
-    features = [np.frombuffer(r["features"], np.int32) for r in rows]
-    counts = [np.frombuffer(r["counts"], np.int32) for r in rows]
-    return fit_rows(features, counts, np.array([r["label"] > 0 for r in rows]))
+    found = rows.mapInArrow(select, rows.schema).toArrow().to_pylist()
+    found.sort(key=lambda r: (r["label"], r["features"], r["counts"]))
+    features, counts = ([np.array(r[c], np.int32) for r in found] for c in ("features", "counts"))
+    return fit_rows(features, counts, np.array([r["label"] > 0 for r in found]))
+
+
+def _telling(seen, clean, n_toxic: int, n_clean: int):
+    """Whether a feature that so many toxic and clean documents have is worth a weight."""
+    enough = seen >= max(LEAST_DOCUMENTS, LEAST_SHARE * n_toxic)
+    return enough & ((seen + 0.5) / (n_toxic + 1) >= LEAST_RATIO * (clean + 0.5) / (n_clean + 1))
 
 
 def grades(doc: np.ndarray, feature: np.ndarray, count: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -118,9 +134,7 @@ def fit_rows(features: list[np.ndarray], counts: list[np.ndarray], toxic: np.nda
     feature, count = np.concatenate(features).astype(np.int64), np.concatenate(counts)
     seen = np.bincount(feature[toxic[doc]], minlength=int(feature.max(initial=0)) + 1)
     clean = np.bincount(feature[~toxic[doc]], minlength=len(seen))
-    share_toxic, share_clean = (seen + 0.5) / (toxic.sum() + 1), (clean + 0.5) / ((~toxic).sum() + 1)
-    least = max(LEAST_DOCUMENTS, LEAST_SHARE * toxic.sum())
-    used = np.flatnonzero((seen >= least) & (share_toxic >= LEAST_RATIO * share_clean))
+    used = np.flatnonzero(_telling(seen, clean, int(toxic.sum()), int((~toxic).sum())))
     if not len(used):
         return Model()
     keep = np.isin(feature, used)
