@@ -41,7 +41,8 @@ DISCOUNT = 0.5
 #: Standard deviations by which the divergence of a context has to exceed that of chance.
 DEVIATIONS = 4.0
 END = np.uint64(0x5BD1E995C0FFEE01)
-BUCKET_TOKENS = 4_000_000
+BUCKET_TOKENS = 2_000_000
+#: Distinct keys that a counting task holds before it hands its counts on.
 _HELD = 1 << 20
 
 
@@ -196,13 +197,14 @@ def learn(rows: DataFrame, depth: int = DEPTH) -> Tree:
     least = max(LEAST_COUNT, ENTRY_SHARE * tree.tokens)
     tree.vocabulary, tree.counts = _collected(counts, least)
     for _ in range(depth):
-        tree.add_depth(*_collected(_counted(rows, _pair_counter(tree)), least))
+        shared = _sent(tree)
+        found = _collected(_counted(rows, _pair_counter(shared, len(tree.keys) + 1)), least)
+        shared.unpersist()
+        tree.add_depth(*found)
     return tree
 
 
-def _pair_counter(tree: Tree):
-    shared = _sent(tree)
-    depth = len(tree.keys) + 1
+def _pair_counter(shared, depth: int):
 
     def keys(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         known = shared.value
@@ -244,7 +246,9 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     )
     tree = learn(rows.where(~F.col("held_out")).select("text"), depth)
     buckets = tree.tokens // BUCKET_TOKENS + 1
-    parts = write_table(rows.mapInArrow(_scorer(_sent(tree), buckets), _SCORED), "lm-scored")
+    shared = _sent(tree)
+    parts = write_table(rows.mapInArrow(_scorer(shared, buckets), _SCORED), "lm-scored")
+    shared.unpersist()
     rare = parts.where("bucket is not null").groupBy("bucket").applyInPandas(_rare_sums(tree.total), "row long, rare double, rare_known long")
     rare = rare.groupBy("row").agg(F.sum("rare").alias("rare"), F.sum("rare_known").alias("rare_known"))
     joined = parts.where("bucket is null").join(rare, "row", "left")

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PLACES = np.arange(1, 65, dtype=np.uint64) * _ODD
 _SPACE = np.zeros(256, dtype=bool)
@@ -45,26 +44,32 @@ def _offsets(array: pa.Array) -> np.ndarray:
     return found[array.offset : array.offset + len(array) + 1].astype(np.int64)
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64, and their inverses."""
-    inverse = pow(base, -1, 1 << 64)
-    tables = []
-    for b in (base, inverse):
-        table = np.full(size, b, dtype=np.uint64)
-        table[0] = 1
-        tables.append(np.multiply.accumulate(table))
-    return tables[0], tables[1]
+#: Powers of an odd number modulo 2**64 and their inverses, as far as any text needed them.
+_BASE = 0xD6E8FEB86659FD93
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    if not _POWERS or len(_POWERS[0]) < size:
+        tables = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            table = np.full(max(size, 1 << 16), base, dtype=np.uint64)
+            table[0] = 1
+            tables.append(np.multiply.accumulate(table, out=table))
+        _POWERS[:] = tables
+    return _POWERS
 
 
 class Rolling:
     """Hashes of any substring of some bytes, from prefix sums of a polynomial modulo 2**64."""
 
-    def __init__(self, data: np.ndarray, base: int = 0xD6E8FEB86659FD93):
-        size = 1 << max(16, int(len(data) + 1).bit_length())
-        power, self._inverse = _powers(base, size)
+    def __init__(self, data: np.ndarray):
+        power, self._inverse = _powers(len(data) + 1)
         self._sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=self._sums[1:])
+        terms = data.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= power[: len(data)]
+        np.cumsum(terms, out=self._sums[1:])
 
     def substrings(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         value = (self._sums[ends] - self._sums[starts]) * self._inverse[starts]
