@@ -249,8 +249,8 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     shared = _sent(tree)
     parts = write_table(rows.mapInArrow(_scorer(shared, buckets), _SCORED), "lm-scored")
     shared.unpersist()
-    rare = parts.where("bucket is not null").groupBy("bucket").applyInPandas(_rare_sums(tree.total), "row long, rare double, rare_known long")
-    rare = rare.groupBy("row").agg(F.sum("rare").alias("rare"), F.sum("rare_known").alias("rare_known"))
+    sums = parts.where("bucket is not null").groupBy("bucket").applyInPandas(_rare_sums(tree.total), "number long, content binary")
+    rare = sums.groupBy("number").applyInPandas(_slice_sums, "row long, rare double, rare_known long")
     joined = parts.where("bucket is null").join(rare, "row", "left")
     extra = F.coalesce("rare", F.lit(0.0))
     return joined.select(
@@ -325,18 +325,30 @@ def _postings(tokens: np.ndarray, text: np.ndarray, train: np.ndarray, number: i
 
 
 def _rare_sums(total: float):
+    """For each slice of texts that a bucket knows: sums over its rare words by text, in one value."""
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         parts = [unpacked(c) for c in frame["content"]]
         words, back = np.unique(np.concatenate([p["words"] for p in parts]), return_inverse=True)
-        count = np.bincount(back, np.concatenate([p["trained"] for p in parts]), len(words))[back]
-        per_text = np.concatenate([p["texts"] for p in parts])
-        row = np.concatenate([p["number"][0] + p["text"].astype(np.int64) for p in parts])
-        times = np.concatenate([p["times"] for p in parts]).astype(float)
-        value = np.repeat(np.log10((count + 0.5) / total), per_text) * times
-        seen = np.repeat(count > 0, per_text) * times
-        rows, at = np.unique(row, return_inverse=True)
-        return pd.DataFrame(
-            {"row": rows, "rare": np.bincount(at, value, len(rows)), "rare_known": np.bincount(at, seen, len(rows)).astype(np.int64)}
-        )
+        counts = np.bincount(back, np.concatenate([p["trained"] for p in parts]), len(words))[back]
+        rows, at = [], 0
+        for p in parts:
+            count = counts[at : at + len(p["words"])]
+            at += len(count)
+            value = np.repeat(np.log10((count + 0.5) / total), p["texts"]) * p["times"]
+            seen = np.repeat(count > 0, p["texts"]) * p["times"]
+            text, back_ = np.unique(p["text"], return_inverse=True)
+            sums = packed(text=text, value=np.bincount(back_, value), seen=np.bincount(back_, seen))
+            rows.append((int(p["number"][0]), sums))
+        return pd.DataFrame(rows, columns=["number", "content"])
 
     return run
+
+
+def _slice_sums(frame: pd.DataFrame) -> pd.DataFrame:
+    """One row for each text of a slice."""
+    parts = [unpacked(c) for c in frame["content"]]
+    text, value, seen = (np.concatenate([p[k] for p in parts]) for k in ("text", "value", "seen"))
+    texts, back = np.unique(text, return_inverse=True)
+    known = np.bincount(back, seen).astype(np.int64)
+    return pd.DataFrame({"row": int(frame["number"].iloc[0]) + texts.astype(np.int64), "rare": np.bincount(back, value), "rare_known": known})
