@@ -1,17 +1,19 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
 A context is the last one or more words. Contexts and next words count with all training documents,
-exactly; an explicit entry is a (context, next word) pair that makes up at least ``ENTRY_SHARE`` of all
-training tokens, so a depth of the tree has at most ``1 / ENTRY_SHARE`` entries whatever the corpus. A
-context stays in the tree if its next words differ from those of its suffix by a likelihood-ratio test of
-divergence. The distribution of a kept context is its discounted entries, and the mass that is left goes
-to the distribution of its longest kept suffix, down to smoothed word frequencies:
+exactly; an explicit entry is a (context, next word) pair that stands there at least ``LEAST_COUNT`` times,
+however large the corpus is. A context stays in the tree if its next words differ from those of its suffix
+by a likelihood-ratio test of divergence. The distribution of a kept context is its discounted entries, and
+the mass that is left goes to the distribution of its longest kept suffix, down to smoothed word frequencies:
 
     P(w | s) = max(n(s, w) - d, 0) / n(s) + rest(s) * P(w | suffix of s)
 
-The tree is small by that bound and is sent to all tasks. Frequencies of rare words are not: each slice of
-texts sends the places of its rare words to the bucket of the word, which knows all training counts of
-the word and answers with sums per text.
+There are two ways to the same scores. The tree of up to ``TREE_TOKENS`` training tokens is small and is
+sent to all tasks; only words that stand there once are looked up in buckets. The tree of a larger corpus
+stays in buckets of runs of words (``_exchanged``): a chunk of texts asks for each of its distinct runs
+once, and only for those whose parts stand there often enough; the bucket adds up the counts and answers.
+One of the chunks that have an entry hands it to the divergence test, which is a sum by context that Spark
+combines before the shuffle. So neither a common run nor a common context meets in one task row by row.
 
 Defined results: a null or empty text is the end token only; texts are scored whole; repeated rows are
 scored (and counted) each; a null id counts as an empty text for the split; an empty training set gives
@@ -31,11 +33,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionflow.llm.packing import packed, unpacked
-from sessionflow.llm.texts import slices, word_hashes
-from sessionflow.workdir import write_table
+from sessionflow.llm.texts import mixed, slices, word_hashes
+from sessionflow.workdir import drop_table, write_table
 
-#: Share of the training tokens from which on a word, or a word after a context, is in the tree.
-ENTRY_SHARE, LEAST_COUNT = 1e-6, 2
+#: Times from which on a word, or a word after a context, is in the tree.
+LEAST_COUNT = 2
+#: Training tokens up to which the tree, of half as many entries for each depth at most, is sent to all tasks.
+TREE_TOKENS = 2_000_000
 DEPTH = 2
 DISCOUNT = 0.5
 #: Standard deviations by which the divergence of a context has to exceed that of chance.
@@ -190,15 +194,14 @@ def _merged(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> tuple
 
 
 def learn(rows: DataFrame, depth: int = DEPTH) -> Tree:
-    """The tree of some texts (binary column ``text``)."""
+    """The tree of some texts (binary column ``text``), for a corpus whose tree fits into memory."""
     counts = write_table(_counted(rows, lambda tokens, sizes: tokens), "lm-words")
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("words")).first()
     tree = Tree(size["tokens"], size["words"])
-    least = max(LEAST_COUNT, ENTRY_SHARE * tree.tokens)
-    tree.vocabulary, tree.counts = _collected(counts, least)
+    tree.vocabulary, tree.counts = _collected(counts, LEAST_COUNT)
     for _ in range(depth):
         shared = _sent(tree)
-        found = _collected(_counted(rows, _pair_counter(shared, len(tree.keys) + 1)), least)
+        found = _collected(_counted(rows, _pair_counter(shared, len(tree.keys) + 1)), LEAST_COUNT)
         shared.unpersist()
         tree.add_depth(*found)
     return tree
@@ -217,12 +220,12 @@ def _pair_counter(shared, depth: int):
 
 
 def _sent(tree: Tree):
-    """The tree for all tasks: at most ``1 / ENTRY_SHARE`` words, and entries of each depth."""
+    """The tree for all tasks."""
     return SparkSession.active().sparkContext.broadcast(tree)
 
 
-def _collected(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys, ascending, that are counted often enough: at most one in ``least / tokens`` of them can be."""
+def _collected(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, ascending, that are counted often enough."""
     table = counts.where(F.col("n") >= least).toArrow()
     keys, n = table.column("key").to_numpy().view(np.uint64), table.column("n").to_numpy()
     order = np.argsort(keys)
@@ -234,16 +237,23 @@ _SCORED = (
 )
 
 
-def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
+def scores(
+    docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, tree_tokens: int = TREE_TOKENS
+) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of each row.
 
-    The tree is learnt from the rows for which ``held_out`` is false.
+    The tree is learnt from the rows for which ``held_out`` is false. Up to ``tree_tokens`` training tokens it
+    is sent to all tasks; the scores do not depend on that.
     """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         held_out.alias("held_out"),
         F.col(text_col).cast("string").cast("binary").alias("text"),
     )
+    chunks = write_table(rows.mapInArrow(_chunked, CHUNK), "lm-chunks")
+    size = chunks.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+    if size[0] > tree_tokens:
+        return _exchanged(chunks, size[0], size[1], depth)
     tree = learn(rows.where(~F.col("held_out")).select("text"), depth)
     buckets = tree.tokens // BUCKET_TOKENS + 1
     shared = _sent(tree)
@@ -352,3 +362,248 @@ def _slice_sums(frame: pd.DataFrame) -> pd.DataFrame:
     texts, back = np.unique(text, return_inverse=True)
     known = np.bincount(back, seen).astype(np.int64)
     return pd.DataFrame({"row": int(frame["number"].iloc[0]) + texts.astype(np.int64), "rare": np.bincount(back, value), "rare_known": known})
+
+
+# --- a tree that stays in buckets ----------------------------------------------------------------
+
+#: Bytes of text in a chunk, and tokens for each bucket of runs of words.
+CHUNK_BYTES, BUCKET_RUNS = 2 << 20, 2_000_000
+CHUNK = "chunk long, trained long, tokens long, content binary"
+_ASKED = "bucket long, chunk long, content binary"
+_ANSWER = "chunk long, kind int, words long, content binary"
+_ENTRY = "key long, size long, n long, parent double, gain double"
+_SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+_COUNTS, _RESTS = 0, 1
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as numbers of words in the list of words of their chunk."""
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for part, data, offsets in slices(batch, "text", CHUNK_BYTES):
+            tokens, sizes = _tokens(data, offsets)
+            words, token = np.unique(tokens, return_inverse=True)
+            doc, held = part.column("doc_id"), part.column("held_out")
+            state = held.cast(pa.int8()).fill_null(2).to_numpy(zero_copy_only=False)
+            content = packed(
+                words=words, token=token.astype(np.uint32), sizes=sizes.astype(np.int64), held=state,
+                doc=doc.fill_null(0).to_numpy(zero_copy_only=False), null=doc.is_null().to_numpy(zero_copy_only=False),
+            )
+            row = [number, int(sizes[state == 0].sum()), len(tokens), content]
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], [c.split()[0] for c in CHUNK.split(", ")])
+            number += 1
+
+
+@dataclass
+class Listed:
+    """The distinct runs of one length in a chunk, ascending, which tokens they end at, and their buckets."""
+
+    at: np.ndarray
+    keys: np.ndarray
+    place: np.ndarray
+    back: np.ndarray
+    cuts: np.ndarray
+
+    def gathered(self, contents, name: str, other) -> np.ndarray:
+        """What the buckets have answered, run by run."""
+        found = np.full(len(self.keys), other)
+        for content in contents:
+            a = unpacked(content)
+            at = self.cuts[int(a["bucket"][0])]
+            found[at : at + len(a[name])] = a[name]
+        return found
+
+
+class Runs:
+    """The runs of 1, 2, ... words of a chunk, as far as the buckets have answered; all arrays are by token.
+
+    It stops before counts that are missing (``asked``), before rests that are missing (``entries``), or at
+    runs of ``most`` words.
+    """
+
+    def __init__(self, content: bytes, buckets: int, total: float, answers: pd.DataFrame | None = None, most: int = 0):
+        self.part = unpacked(content)
+        self.sizes, self.buckets = self.part["sizes"], buckets
+        self.word = self.part["words"][self.part["token"]]
+        self.first = np.zeros(len(self.word), bool)
+        self.first[np.cumsum(self.sizes) - self.sizes] = True
+        self.trained = np.repeat(self.part["held"] == 0, self.sizes)
+        self.run, self.length = self.word, 1  # the hash of the run that ends at the token
+        self.listed = self._list(np.arange(len(self.word)))
+        kinds = {} if answers is None else {k: f["content"] for k, f in answers.groupby("kind")}
+        if _kind(1, _COUNTS) not in kinds:
+            return
+        self._count(kinds[_kind(1, _COUNTS)])
+        self.known = self.n > 0
+        self.base = (self.n + 0.5) / total
+        self.p = self.base.copy()
+        while self.length != most:
+            shorter = self._lengthen()
+            if _kind(self.length, _COUNTS) not in kinds:
+                return
+            self._count(kinds[_kind(self.length, _COUNTS)])
+            if _kind(self.length - 1, _RESTS) not in kinds:
+                return
+            rests = np.ones(len(self.word))
+            rests[shorter.at] = shorter.gathered(kinds[_kind(self.length - 1, _RESTS)], "rest", 1.0)[shorter.back]
+            rests = self._before(rests, 1.0)  # 1 where the context is not kept
+            share = np.where(self.often & (rests < 1), (self.n - DISCOUNT) / np.maximum(self.size, 1), 0.0)
+            self.p = share + rests * self.p
+
+    def _list(self, at: np.ndarray) -> Listed:
+        keys, place, back = np.unique(self.run[at], return_index=True, return_inverse=True)
+        bucket = (keys >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)
+        return Listed(at, keys, place, back.ravel(), np.searchsorted(bucket, np.arange(self.buckets + 1, dtype=np.uint64)))
+
+    def _before(self, values: np.ndarray, other) -> np.ndarray:
+        """The value of the token before, within a text."""
+        found = np.full(len(values), other, values.dtype)
+        found[1:] = values[:-1]
+        found[self.first] = other
+        return found
+
+    def _count(self, contents) -> None:
+        self.n = np.zeros(len(self.word), np.int64)
+        self.n[self.listed.at] = self.listed.gathered(contents, "n", 0)[self.listed.back]
+        self.own = self.listed.gathered(contents, "own", False)
+        self.often = self.n >= LEAST_COUNT
+
+    def _lengthen(self) -> Listed:
+        """Go on to runs of one more word, of which both shorter parts stand there often enough."""
+        shorter, at = self.listed, np.flatnonzero(self._before(self.often, False) & self.often)
+        self.context, self.size = self._before(self.run, 0), self._before(self.n, 0)
+        self.run, self.length = mixed(mixed(self.context) + self.word), self.length + 1
+        self.listed = self._list(at)
+        return shorter
+
+    def asked(self) -> Iterator[tuple[int, bytes]]:
+        """Per bucket: the distinct runs, and how often training texts have them."""
+        x = self.listed
+        n = np.bincount(x.back, self.trained[x.at], len(x.keys)).astype(np.uint32)
+        for b in np.flatnonzero(np.diff(x.cuts)):
+            s = slice(x.cuts[b], x.cuts[b + 1])
+            yield int(b), packed(step=np.diff(x.keys[s], prepend=np.uint64(0)), n=n[s])
+
+    def entries(self) -> pd.DataFrame:
+        """Of the entries that this chunk has to hand on: context and its count, count, P after the suffix, gain."""
+        at = self.listed.at[self.listed.place[self.own]]
+        at = at[self.often[at]]
+        n, size, parent = self.n[at], self.size[at], self.p[at]
+        gain = n * np.log(n / size / parent)
+        return pd.DataFrame({"key": self.context[at].view(np.int64), "size": size, "n": n, "parent": parent, "gain": gain})
+
+    def scores(self) -> pd.DataFrame:
+        text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        known, base, score = (np.bincount(text, x, len(self.sizes)) for x in (self.known, np.log10(self.base), np.log10(self.p)))
+        columns = {"doc_id": pd.array(self.part["doc"], "Int64"), "held_out": pd.array(self.part["held"] == 1, "boolean")}
+        columns["doc_id"][self.part["null"]] = pd.NA
+        columns["held_out"][self.part["held"] == 2] = pd.NA
+        return pd.DataFrame(columns | {"n_tokens": self.sizes, "n_known": known.astype(np.int64), "base_score": base, "score": score})
+
+
+def _kind(length: int, what: int) -> int:
+    return 2 * length + what
+
+
+def _ask(buckets: int, total: float):
+    def run(chunks: pd.DataFrame, answers: pd.DataFrame | None = None) -> pd.DataFrame:
+        made = [(b, row.chunk, c) for row in chunks.itertuples() for b, c in Runs(row.content, buckets, total, answers).asked()]
+        return pd.DataFrame(made, columns=["bucket", "chunk", "content"])
+
+    return run
+
+
+def _add_up(length: int):
+    """For each chunk: the counts of its runs in all training texts, and for which runs it speaks."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpacked(c) for c in frame["content"]]
+        runs, first, back = np.unique(np.concatenate([np.cumsum(p["step"]) for p in parts]), return_index=True, return_inverse=True)
+        back = back.ravel()
+        n = np.bincount(back, np.concatenate([p["n"] for p in parts]), len(runs)).astype(np.int64)
+        own = np.zeros(len(back), bool)
+        own[first] = True
+        if length > 1:
+            n[n < LEAST_COUNT] = 0
+        rows, at = [], 0
+        for chunk, bucket, p in zip(frame["chunk"], frame["bucket"], parts):
+            s = slice(at, at + len(p["step"]))
+            at = s.stop
+            content = packed(bucket=np.array([bucket]), n=n[back[s]], own=own[s])
+            rows.append((chunk, _kind(length, _COUNTS), int((own[s] & (n[back[s]] > 0)).sum()), content))
+        return pd.DataFrame(rows, columns=["chunk", "kind", "words", "content"])
+
+    return run
+
+
+def _tell_rests(length: int):
+    """For each chunk: what the contexts that it has leave to their suffixes."""
+
+    def run(asked: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
+        order = np.argsort(keys := kept["key"].to_numpy().view(np.uint64))
+        keys, rest = keys[order], kept["rest"].to_numpy()[order]
+        rows = []
+        for row in asked.itertuples():
+            at = _find(keys, np.cumsum(unpacked(row.content)["step"]))
+            found = np.where(at >= 0, rest[np.maximum(at, 0)], 1.0) if len(rest) else np.ones(len(at))
+            rows.append((row.chunk, _kind(length, _RESTS), 0, packed(bucket=np.array([row.bucket]), rest=found)))
+        return pd.DataFrame(rows, columns=["chunk", "kind", "words", "content"])
+
+    return run
+
+
+def _kept(entries: DataFrame, buckets: int) -> DataFrame:
+    """``bucket, key, rest`` of the contexts that diverge from their suffixes, as in ``Tree.add_depth``."""
+    sums = entries.groupBy("key").agg(
+        F.max("size").alias("size"), F.sum("n").alias("listed"), F.count("*").alias("parts"),
+        F.sum("parent").alias("covered"), F.sum("gain").alias("gain"),
+    )
+    left = F.greatest(F.col("size") - F.col("listed"), F.lit(0))
+    other = F.greatest(1 - F.col("covered"), F.lit(1e-12))
+    gain = F.col("gain") + F.when(left > 0, left * F.log(left / F.col("size") / other)).otherwise(0.0)
+    kept = sums.where(2 * gain > F.col("parts") + DEVIATIONS * F.sqrt(2 * F.col("parts")))
+    bucket = F.shiftright(F.shiftrightunsigned("key", 32) * F.lit(buckets).cast("long"), 32)
+    return kept.select(bucket.alias("bucket"), "key", (1 - (F.col("listed") - DISCOUNT * F.col("parts")) / F.col("size")).alias("rest"))
+
+
+def _exchanged(chunks: DataFrame, trained: int, tokens: int, depth: int) -> DataFrame:
+    """The scores by a tree that stays in buckets."""
+    spark, buckets = chunks.sparkSession, tokens // BUCKET_RUNS + 1
+    chunks = chunks.select("chunk", "content")
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        """A table whose shuffles are deleted once it is there."""
+        before = spark.conf.get(_CLEANUP, None)
+        spark.conf.set(_CLEANUP, "true")
+        try:
+            return write_table(rows, name)
+        finally:
+            spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+    asked = written(chunks.mapInPandas(lambda frames: map(_ask(buckets, 0.0), frames), _ASKED), "lm-asked-1")
+    answers = written(asked.groupBy("bucket").applyInPandas(_add_up(1), _ANSWER), "lm-counts-1")
+    total = trained + 0.5 * (answers.agg(F.sum("words")).first()[0] + 1)
+
+    def told(what, schema: str) -> DataFrame:
+        return chunks.groupBy("chunk").cogroup(answers.select("chunk", "kind", "content").groupBy("chunk")).applyInPandas(what, schema)
+
+    def entries(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([Runs(row.content, buckets, total, known).entries() for row in part.itertuples()])
+
+    def scored(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([Runs(row.content, buckets, total, known, depth + 1).scores() for row in part.itertuples()])
+
+    for length in range(1, depth + 1):
+        longer = told(_ask(buckets, total), _ASKED)
+        if length < depth:  # else no context is as long
+            longer = written(longer, f"lm-asked-{length + 1}")
+        counts = longer.groupBy("bucket").applyInPandas(_add_up(length + 1), _ANSWER)
+        answers = answers.unionByName(written(counts, f"lm-counts-{length + 1}"))
+        kept = _kept(told(entries, _ENTRY), buckets)
+        rests = asked.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInPandas(_tell_rests(length), _ANSWER)
+        answers = answers.unionByName(written(rests, f"lm-rests-{length}"))
+        drop_table(asked)
+        asked = longer
+    columns = ("doc_id", "held_out", "n_tokens", "n_known", F.lit(trained).cast("bigint").alias("train_tokens"), "base_score", "score")
+    return told(scored, _SCORE).select(*columns)

@@ -312,6 +312,31 @@ def test_tree_is_a_distribution(spark):
             assert math.isclose(p.sum() + chain * (rare + unknown), 1.0, rel_tol=1e-9)
 
 
+def test_rare_contexts_of_a_large_corpus_count(spark):
+    """Three million training tokens more, of other words, do not take entries out of the tree."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = spark.createDataFrame([(i, text) for i in range(4)], "doc_id long, text string")
+    other = spark.range(1000, 1050).select(F.col("id").alias("doc_id"), F.expr("concat_ws(' ', transform(sequence(1, 80000), i -> concat('z', i % 100)))").alias("text"))
+    gain = {}
+    for name, docs in (("small", rows), ("large", rows.unionByName(other))):
+        found = suffix_tree_lm.scores(docs, F.col("doc_id") % 5 == 1).where("doc_id < 1000").collect()
+        gain[name] = sum(r["score"] - r["base_score"] for r in found)
+    assert gain["large"] > 0.95 * gain["small"] > 0
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_buckets_give_the_scores_of_the_tree(spark, odd, depth, monkeypatch):
+    monkeypatch.setattr(suffix_tree_lm, "BUCKET_RUNS", 3_000)
+    texts = list(enumerate([*random_texts(7, 200), *random_texts(8, 100)], 1000))
+    rows = spark.createDataFrame([*texts, (None, "alpha1 alpha2")], "doc_id long, text string").unionByName(odd.select("doc_id", "text")).repartition(5)
+    held = F.coalesce(F.col("doc_id"), F.lit(0)) % 5 == 1
+    ways = [suffix_tree_lm.scores(rows, held, depth=depth, tree_tokens=n).collect() for n in (1 << 40, 0)]
+    tree, buckets = (sorted(map(tuple, w), key=repr) for w in ways)
+    assert any(r["score"] != r["base_score"] for r in ways[0])
+    assert [r[:5] for r in buckets] == [r[:5] for r in tree]
+    assert np.allclose([r[5:] for r in buckets], [r[5:] for r in tree], rtol=1e-9)
+
+
 def test_scores_of_nothing(empty, spark):
     assert suffix_tree_lm.scores(empty, F.lit(False)).collect() == []
     rows = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
