@@ -82,6 +82,28 @@ def test_suffix_random(spark, seed, length):
     assert cut(docs, length) == plain.cut_repeats(texts, length)
 
 
+@pytest.mark.parametrize("hot", [0, 5, 100])
+def test_suffix_hot_anchors(spark, odd, hot):
+    """What is cut does not depend on how the neighbourhoods of an anchor are dealt."""
+    passage = "A passage that a third of all documents holds, between texts that differ in each of them."
+    texts = {i: f"{i * 7919} {passage} {i * 104729} or {i} so" for i in range(100, 400)} | dict(enumerate(random_texts(4, 60))) | {1000 + i: t for i, t in texts_of(odd_rows()).items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    rows = suffix_dedup.remove_repeats(docs, hot=hot).collect()
+    found = {r["doc_id"]: (r["suffix_bytes"], r["suffix_removed"], r["suffix_spans"], hashlib.sha256(r["suffix_kept"]).hexdigest()) for r in rows}
+    assert found == plain.cut_repeats(texts, 50)
+
+
+def test_suffix_chunk_sends_a_hot_anchor_twice_at_most(spark):
+    """However many neighbourhoods it has there; windows go to many buckets, each once."""
+    passage = "A passage that all of these documents hold, between texts that differ in each of them."
+    docs = spark.createDataFrame([(i, f"{i * 7919} {passage} {i * 104729}") for i in range(500)], "doc_id long, text string").coalesce(1)
+    chunks = suffix_dedup._pack(docs.selectExpr("doc_id", "cast(text as binary) suffix_text"), "doc_id").collect()
+    chunk = suffix_dedup.Chunk(chunks[0]["ids"], chunks[0]["lengths"], chunks[0]["data"], 50, 1)
+    assert max(Counter(chunk.gram[chunk.first].tolist()).values()) > 400
+    told = Counter(r for c in suffix_dedup._tell(spark.createDataFrame(chunks), 50, 1).collect() for r in np.cumsum(suffix_dedup.unpacked(c["content"])["step"], dtype=np.uint32).tolist())
+    assert max(told.values()) == 2
+
+
 def test_suffix_null_ids_and_repeated_rows(spark, empty):
     text = "the same text of more than fifty bytes in each of the rows"
     rows = spark.createDataFrame([(None, text), (5, text), (5, text), (6, text)], "doc_id long, text string")
