@@ -82,6 +82,28 @@ def test_run_gives_the_last_stage(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).columns == ["doc_id", "lang", "source", "n_tokens", "token_ids"]
 
 
+def test_run_gives_the_rows_of_its_stages(spark, sf_dir):
+    """All rows of run(): near duplicates and encoding by plain versions, the other stages by their operators without
+    the Parquet round trip. Documents labelled clean stay."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = {r["doc_id"]: r for r in corpus_pipeline.reject_toxic(spark, docs, sf_dir).collect()}
+    clean = {i for i, t in connection(sf_dir).execute("select doc_id, toxic from labels").fetchall() if not t}
+    assert len(clean & set(kept)) >= 0.9 * len(clean)
+    near = plain.near_duplicates({i: r["text"] for i, r in kept.items()}, 5, 80)
+    texts = {i: r["text"] for i, r in kept.items() if near[i][1] == i}
+    schema = docs.schema
+    alone = spark.createDataFrame([kept[i] for i in texts], schema)
+    cut = corpus_pipeline.cut_repeats(spark, alone, sf_dir)
+    rows = {r["doc_id"]: r for r in corpus_pipeline.mix_sources(spark, cut, sf_dir).collect()}
+    copies = {}
+    for r in corpus_pipeline.mix_sources(spark, cut, sf_dir).collect():
+        copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.VOCABULARY))
+    want = sorted((i, r["source"], tuple(tokenizer.encode(r["text"], add_special_tokens=False).ids)) for i, r in rows.items() for _ in range(copies[i]))
+    got = corpus_pipeline.run(spark, sf_dir).collect()
+    assert sorted((r["doc_id"], r["source"], struct.unpack(f"<{r['n_tokens']}I", r["token_ids"])) for r in got) == want
+
+
 def test_stages_bear_odd_rows(spark, tmp_path):
     """Nulls, blanks, copies and repeated rows pass all stages; a null text stays null where nothing is cut."""
     passage = "a passage of more than fifty bytes that stands in two of the documents here"
