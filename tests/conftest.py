@@ -31,8 +31,3 @@ def sf_dir():
     if not Path(SF_DIR).exists():
         pytest.skip("no test tables")
     return SF_DIR
-
-
-def rows(df):
-    """Rows in a fixed order."""
-    return sorted(map(tuple, df.collect()), key=repr)

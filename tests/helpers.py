@@ -1,4 +1,4 @@
-"""Streams out of literal rows, one file per micro-batch."""
+"""Rows of results, and streams out of literal rows, one file per micro-batch."""
 
 import os
 import tempfile
@@ -8,6 +8,11 @@ from sessionflow.sources.lines import text_stream
 BASE_S = 1_700_000_000
 
 
+def rows(df):
+    """Rows in a fixed order."""
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
 def write_files(folder, batches, first=0):
     """One text file per micro-batch; the stream takes them by age."""
     for i, lines in enumerate(batches, first):

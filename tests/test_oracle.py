@@ -4,7 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import rows
+from helpers import rows
 
 import __spark_entry__ as entry
 

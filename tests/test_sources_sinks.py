@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from helpers import rows
 
 from sessionflow import schemas
 from sessionflow.functions.envelope import envelope

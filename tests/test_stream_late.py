@@ -1,8 +1,7 @@
 """Late rows, leaping clocks and backlogs over several micro-batches."""
 
 import pytest
-from conftest import rows
-from helpers import BASE_S, ms, vehicle, write_files
+from helpers import BASE_S, ms, rows, vehicle, write_files
 from test_stream_random import GAP, batches_of, fold_count, fold_span, fold_status, late_rows, line_stream, seconds, simulate
 
 from sessionflow.functions import parsing

@@ -3,8 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
-from helpers import BASE_S, line_stream, vehicle
+from helpers import BASE_S, line_stream, rows, vehicle
 from pyspark.sql import functions as F
 
 from sessionflow.functions import parsing

@@ -5,8 +5,7 @@ import tempfile
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from conftest import rows
-from helpers import BASE_S, DRIVEN, drive_lines, line_stream, ms, split_by_gaps, vehicle, write_files
+from helpers import BASE_S, DRIVEN, drive_lines, line_stream, ms, rows, split_by_gaps, vehicle, write_files
 from pyspark.sql import functions as F
 
 from sessionflow.functions import parsing

@@ -3,8 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
-from helpers import DRIVEN, drive_lines, split_by_gaps
+from helpers import DRIVEN, drive_lines, rows, split_by_gaps
 from pyspark.sql import functions as F
 
 from sessionflow import schemas
