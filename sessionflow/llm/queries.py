@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionflow.llm import block_search, bpe_lexicon, chat_windows, minhash, mixing, quality_crf, suffix_dedup, suffix_tree_lm, toxicity, vector_dedup
+from sessionflow.llm import (
+    block_search,
+    bpe_lexicon,
+    chat_windows,
+    jump_shards,
+    minhash,
+    mixing,
+    ptolemy_clusters,
+    quality_crf,
+    suffix_dedup,
+    suffix_tree_lm,
+    token_align,
+    toxicity,
+    vector_dedup,
+)
 from sessionflow.llm.labelled import remainder
 
 
@@ -102,6 +116,39 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_windows.digests(chat_windows.windows(rows.unionByName(control)))
 
 
+#: The vocabularies of the registered alignment.
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+
+
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = token_align.align(docs, *map(public_tokenizers.path, ALIGNED))
+    return token_align.digests(token_align.link_counts(aligned, token_align.pair_counts(aligned)))
+
+
+def op12_ptolemy_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ptolemy_clusters.clusters(_read(spark, sf_dir, "embeddings"), k=16, rounds=3, size=64, scale=64.0)
+    return found.withColumn("centroid_sha256", F.sha2("centroid", 256)).drop("centroid")
+
+
+#: Shards of the registered sharding.
+SHARDS = 24
+
+
+def op13_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = jump_shards.shard_rows(_read(spark, sf_dir, "documents"), SHARDS)
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return sharded.select(
+        "doc_id",
+        (F.octet_length(text).cast("bigint") + 8).alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        F.col("shard_no").alias("shard"),
+        F.col("shard_slot").alias("slot"),
+        F.col("shard_grown").alias("grown_shard"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("op")}
 
@@ -126,5 +173,29 @@ select doc_id, size, z as source_size, target, (size * (whole + case when whole
 """
 
 
+#: Three rounds written out; vectors are lists of whole numbers, each round a table of centroids.
+_KEPT = """
+with k as (select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
+    from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+c0 as (select cast(row_number() over (order by sha256('1:' || vec_id) nulls last, v) - 1 as int) as c, v as w from k
+    order by c limit 16)"""
+_NEAREST = """,
+a{i} as (select r, min((d, c)) as best from (select r, c,
+    cast(list_sum(list_transform(list_zip(v, w), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as bigint) as d from k, c{i}) group by r)"""
+_MEANS = """,
+s{i} as (select c, place, sum(x) as s, count(*) as n from (select cast(best[2] as int) as c, unnest(v) as x, generate_subscripts(v, 1) as place
+    from k join a{i} using (r)) group by 1, 2),
+m{i} as (select c, list(cast((s - ((s % n + n) % n)) // n as bigint) order by place) as w from s{i} group by c),
+c{j} as (select c{i}.c, coalesce(m{i}.w, c{i}.w) as w from c{i} left join m{i} using (c))"""
+_CLUSTERS = (
+    _KEPT
+    + "".join(_NEAREST.format(i=i) + _MEANS.format(i=i, j=i + 1) for i in range(3))
+    + _NEAREST.format(i=3)
+    + """
+select vec_id, cast(best[2] as int) as cluster, cast(best[1] as bigint) as distance, cast(sum(best[1]) over (partition by best[2]) as bigint) as cluster_inertia,
+    cast(sum(best[1]) over () as bigint) as inertia, sha256(array_to_string(w, ',')) as centroid_sha256
+from k join a3 using (r) join c3 on c3.c = best[2]"""
+)
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mixing": _MIX}
+    return {"op9_mixing": _MIX, "op12_ptolemy_clusters": _CLUSTERS}
