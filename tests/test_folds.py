@@ -7,7 +7,6 @@ import pandas as pd
 import pytest
 
 from sessionflow.streaming.cells import merged
-from sessionflow.streaming.collect import collect_function
 from sessionflow.streaming.folds import Open, advance
 
 
@@ -68,45 +67,3 @@ def test_cells_do_not_depend_on_when_they_are_merged(monkeypatch, at_once):
 def test_two_rows_at_once_are_not_alone():
     cells = merged([pd.DataFrame({"cell": [np.array([100, i, i, 100, i, i, 1]) for i in (1, 2)]})], 11)
     assert not advance(Open(0, 0), cells, 10).tail_is_new
-
-
-class FakeState:
-    def __init__(self):
-        self.value, self.hasTimedOut, self.duration = None, False, None
-
-    exists = property(lambda self: self.value is not None)
-    get = property(lambda self: self.value)
-
-    def update(self, value):
-        self.value = value
-
-    def remove(self):
-        self.value = None
-
-    def setTimeoutDuration(self, duration):
-        self.duration = duration
-
-
-def events(*items):
-    item = [[{"greet": g}] for g, _ in items]
-    return iter([pd.DataFrame({"_item": item, "_closes": [c for _, c in items]})])
-
-
-@pytest.mark.parametrize("emit", [False, True])
-def test_collect_timeout(emit):
-    fold, state = collect_function(["id"], ["greet"], 30_000, emit), FakeState()
-    assert list(fold((1,), events(("a", False)), state)) == []
-    assert state.duration == 30_000
-    assert list(fold((1,), events(("b", False)), state)) == []
-    state.hasTimedOut = True
-    out = list(fold((1,), iter([]), state))
-    assert not state.exists
-    assert [r["userEvents"][0] for r in out] == ([[{"greet": "a"}, {"greet": "b"}]] if emit else [])
-
-
-def test_collect_closes_with_the_batch():
-    fold, state = collect_function(["id"], ["greet"], 30_000, False), FakeState()
-    list(fold((1,), events(("a", False)), state))
-    [out] = fold((1,), events(("b", True), ("c", True), ("d", False)), state)
-    assert [e["greet"] for e in out["userEvents"][0]] == ["a", "b", "c", "d"]
-    assert not state.exists
