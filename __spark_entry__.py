@@ -23,9 +23,10 @@ from sessionflow.functions.envelope import envelope  # noqa: E402
 from sessionflow.functions.timeconv import epoch_ms, from_wall_clock  # noqa: E402
 from sessionflow.operators import counts, sessions, spans, stations, trips  # noqa: E402
 from sessionflow.sources.lines import text_stream  # noqa: E402
+from sessionflow.sources.paced import paced_stream  # noqa: E402
 from sessionflow.sources.tables import parquet_stream, parquet_table, zoned  # noqa: E402
-from sessionflow.streaming import collect, jobs, native, stateful  # noqa: E402
-from sessionflow.streaming.runner import run_available_now  # noqa: E402
+from sessionflow.streaming import collect, jobs, native, ordered, sinks, stateful  # noqa: E402
+from sessionflow.streaming.runner import run_available_now, run_until_idle  # noqa: E402
 from sessionflow.workdir import shared_dir  # noqa: E402
 
 #: In front of the line of an error it makes a line that cannot be parsed.
@@ -260,14 +261,15 @@ def q_stream_pv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = collect.complete_sessions(
+    found = collect.closed_session_events(
         _event_stream(spark, sf_dir),
         "user_id",
         "event_id",
         F.col("event_type") == "purchase",
         ["event_id", "event_type"],
     )
-    return _session_text(run_available_now(found, "sessions", timeouts=False), "user_id")
+    events = run_available_now(found, "sessions", timeouts=False)
+    return _session_text(collect.listed_sessions(events, "user_id"), "user_id")
 
 
 def q_stream_span(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,6 +277,68 @@ def q_stream_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_available_now(found, "span").drop("batch_id")
 
 
+# --- many micro-batches --------------------------------------------------------------------------
+
+#: Micro-batches that a paced stream of a whole table makes at least.
+BATCHES = 12
+
+
+def _paced_vehicles(spark: SparkSession, sf_dir: str, name: str, backlog: bool = False) -> DataFrame:
+    """Vehicle signals of all events, a twelfth of them in a micro-batch; with ``backlog`` the first half from recorded files."""
+    events = _events(spark, sf_dir)
+    n = events.count()
+    folder = shared_dir(spark, f"{name}-lines")
+    live, recorded = f"{folder}/live", f"{folder}/recorded"
+    half = events.agg(F.median("event_id")).scalar() if backlog else F.lit(None)
+    late = F.coalesce(F.col("event_id") > half, F.lit(True))
+    # live lines are there before recorded ones
+    _vehicle_lines(events.where(late)).write.text(live)
+    if backlog:
+        _vehicle_lines(events.where(~late)).write.text(recorded)
+    lines = paced_stream(spark, live, recorded if backlog else (), max_rows=max(-(-n // BATCHES), 1))
+    return parsing.valid(parsing.parse_vehicle(lines))
+
+
+def q_stream_pv_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts over many micro-batches: the newest count of each key."""
+    events = _events(spark, sf_dir)
+    folder = shared_dir(spark, "pv-batches-lines")
+    _user_lines(events).write.text(folder)
+    lines = paced_stream(spark, folder, max_rows=max(-(-events.count() // BATCHES), 1))
+    found = run_until_idle(jobs.counts(lines), "pv-batches")
+    return sinks.latest(found, ["userId", "eventType"])
+
+
+def q_stream_trips_native_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = native.trips(_paced_vehicles(spark, sf_dir, "native-batches"), tiebreak="mileage", gap_ms=GAP_MS)
+    return run_until_idle(found, "trips-native-batches", "append").drop("batch_id")
+
+
+def _ordered_trips(spark: SparkSession, sf_dir: str, name: str, backlog: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Trips that were closed, and those that the stored state holds."""
+    signals = _paced_vehicles(spark, sf_dir, name, backlog)
+    folder = shared_dir(spark, name)
+    found = ordered.trips(signals, tiebreak="mileage", gap_ms=GAP_MS)
+    closed = run_until_idle(found, name, "append", folder).drop("batch_id")
+    return closed, ordered.open_trips(spark, f"{folder}/checkpoint")
+
+
+def q_stream_trips_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    closed, running = _ordered_trips(spark, sf_dir, "trips-ordered")
+    return closed.unionByName(running)
+
+
+def q_stream_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips over recorded lines and live ones, although the live files are older."""
+    closed, running = _ordered_trips(spark, sf_dir, "backlog", backlog=True)
+    return closed.unionByName(running)
+
+
+def q_open_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running trips out of the stored state."""
+    return _ordered_trips(spark, sf_dir, "open-trips")[1]
+
+
 # --- jobs from lines to results ------------------------------------------------------------------
 
 
@@ -396,6 +460,9 @@ union all select {_SPAN_COLUMNS}, true from s
 where b + 1800000 < (select max(b) from s) - 3600000"""
 _VEHICLE_SOURCE = """select cast(user_id as varchar) as k, epoch_us(ts) // 1000 as t,
   event_id as o from events"""
+# a trip is over once the watermark, five minutes behind, has passed its end by more than the gap
+_ORDERED = f"""{_segments(_VEHICLE_SOURCE)} select k as vin, {_TRIP},
+    b + 21600000 < (select max(b) from h) - 300000 as "isTripEnded" from h"""
 _JOB_COUNTS = """select cast(user_id as varchar) as "userId", event_type as "eventType",
   count(*) as "eventCount" from events group by 1, 2"""
 _STATION_SOURCE = f"select cast(user_id as varchar) as k, {_SECOND_MS} as t, 0 as o from events"
@@ -449,6 +516,12 @@ def _own_sql() -> dict[str, str]:
             union all select k, {_TRIP}, true from h where seg = last_seg""",
         "stream_station": f"""{_segments()} select k as user_id, "startTime", "endTime", status
             from ({_STATION_ROWS} {_TIMED_OUT_STATION})""",
+        "stream_pv_batches": _JOB_COUNTS,
+        "stream_trips_native_batches": f"""{_segments(_VEHICLE_SOURCE)} select k as vin, {_TRIP}, true as "isTripEnded"
+            from h where b + 21600000 <= (select max(b) from h) - 300000""",
+        "stream_trips_ordered": _ORDERED,
+        "stream_backlog": _ORDERED,
+        "open_trips": f"select * from ({_ORDERED}) where not \"isTripEnded\"",
         "stream_pv_ttl": _COUNTS,
         "stream_pv": _COUNTS,
         "stream_sessions": f"""select user_id, {_SESSION_TEXT} from events group by user_id

@@ -77,3 +77,20 @@ def run_available_now(
     found = sinks.read_batches(spark, f"{folder}/out", df.schema)
     remove_folder(spark, f"{folder}/checkpoint") if temporary else None
     return found.where(F.col("batch_id") == found.agg(F.max("batch_id")).scalar()) if mode == "complete" else found
+
+
+def run_until_idle(df: DataFrame, name: str, mode: str = "update", folder: str | None = None, timeouts: bool = True) -> DataFrame:
+    """Process micro-batch after micro-batch until the source has nothing new, and read the output back with its ``batch_id``.
+
+    For sources that pace themselves: ``availableNow`` would take all they hold as one micro-batch. With the same ``folder`` a later
+    call goes on from the checkpoint of the one before. The checkpoint stays, for ``folder``/checkpoint holds the state.
+    """
+    spark = df.sparkSession
+    folder = folder or shared_dir(spark, name)
+    writer = sinks.parquet(df, f"{folder}/out", f"{folder}/checkpoint", mode, {"processingTime": "0 seconds"})
+    query = start(writer, spark, timeouts)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return sinks.read_batches(spark, f"{folder}/out", df.schema)
