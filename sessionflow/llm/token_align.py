@@ -24,6 +24,7 @@ import os
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +42,11 @@ from sessionflow.workdir import drop_table, write_table
 
 _ADDED = ["align_row", "align_a_ids", "align_b_ids", "align_a_closes", "align_b_closes"]
 #: Bytes of texts that are aligned at once; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Words whose tokens a worker keeps between slices.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
+#: Words that a tokeniser gets at once.
+ENCODED_WORDS = 4096
 #: Tokens between the places where lanes begin, and tokens that are searched for such a place.
 LANE_TOKENS, LANE_SEARCH = 256, 16
 #: Longest block that is probed at once.
@@ -104,6 +107,8 @@ class _Words:
     def __init__(self, a_path: str, b_path: str):
         self.tokenisers = [ByteTokens(a_path), PieceTokens(b_path)]
         self.sizes = [np.array([len(p) for p in t.pieces], dtype=np.int64) for t in self.tokenisers]
+        self._first = [np.cumsum(n) - n for n in self.sizes]
+        self._bytes = [np.frombuffer(b"".join(t.pieces), dtype=np.uint8) for t in self.tokenisers]
         self.splits = all(t.splits for t in self.tokenisers)
         self._clear()
 
@@ -115,15 +120,14 @@ class _Words:
 
     def encode(self, words: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
         """For distinct words: which of them their tokens give back, and ids and numbers of tokens by tokeniser."""
-        at = pc.index_in(words, value_set=self._words)
-        fresh = words.filter(pc.is_null(at))
-        if len(self._words) and len(self._words) + len(fresh) > CACHED_WORDS:
+        places = pc.fill_null(pc.index_in(words, value_set=self._words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(self._words) and len(self._words) + int((places < 0).sum()) > CACHED_WORDS:
             self._clear()
-            fresh = words
+            places[:] = -1
+        fresh = np.flatnonzero(places < 0)
+        places[fresh] = len(self._words) + np.arange(len(fresh))
         if len(fresh):
-            self._learn(fresh)
-            at = pc.index_in(words, value_set=self._words)
-        places = at.to_numpy(zero_copy_only=False).astype(np.int64)
+            self._learn(words.take(pa.array(fresh)))
         found = []
         for ids, counts in zip(self._ids, self._counts):
             first = np.cumsum(counts) - counts
@@ -132,18 +136,33 @@ class _Words:
 
     def _learn(self, fresh: pa.Array) -> None:
         texts = fresh.to_pylist()
+        offsets = np.frombuffer(fresh.buffers()[1], dtype=np.int64)[: len(fresh) + 1]
+        data = np.frombuffer(fresh.buffers()[2], dtype=np.uint8)
         good = np.ones(len(texts), dtype=bool)
         for i, tokeniser in enumerate(self.tokenisers):
-            lists = tokeniser.encode(texts)
-            counts = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-            ids = np.fromiter((x for found in lists for x in found), dtype=np.int32, count=int(counts.sum()))
-            get = tokeniser.pieces.__getitem__
-            good &= [b"".join(map(get, found)) == t.encode() for found, t in zip(lists, texts)]
-            self._ids[i] = np.concatenate([self._ids[i], ids])
-            self._counts[i] = np.concatenate([self._counts[i], counts])
+            ids, counts = [self._ids[i]], [self._counts[i]]
+            for start in range(0, len(texts), ENCODED_WORDS):
+                lists = tokeniser.encode(texts[start : start + ENCODED_WORDS])
+                counts.append(np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)))
+                ids.append(np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(counts[-1].sum())))
+            good &= self._given_back(i, np.concatenate(ids[1:]), np.concatenate(counts[1:]), data, offsets)
+            self._ids[i], self._counts[i] = np.concatenate(ids), np.concatenate(counts)
         self._good = np.concatenate([self._good, good])
         self._words = pa.concat_arrays([self._words, fresh])
 
+    def _given_back(self, i: int, ids: np.ndarray, counts: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which words the bytes of their tokens give."""
+        sizes = self.sizes[i][ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+        lengths = np.diff(ends)
+        good = lengths == np.diff(offsets)
+        joined = self._bytes[i][_runs(self._first[i][ids], sizes)]
+        fitting = np.flatnonzero(good)
+        differs = joined[_runs(ends[fitting], lengths[fitting])] != data[_runs(offsets[fitting], lengths[fitting])]
+        of_word = np.repeat(fitting, lengths[fitting])
+        good[of_word[differs]] = False
+        return good
+
 
 @lru_cache(maxsize=2)
 def _words(a_path: str, b_path: str) -> _Words:
@@ -166,7 +185,10 @@ def _word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         pair = (one >= 0xC3) & (one <= 0xDF)
         triple = (two >= 0xE3) & (two <= 0xEE) & ~((two == 0xE3) & (one == 0x80))
         safe[other] = pair | ((one < 0xC0) & (triple | (three >= 0xF0)))
-    return np.union1d(blank[safe], offsets)
+    begins = np.zeros(len(data), dtype=bool)
+    begins[blank[safe]] = True
+    begins[offsets] = True
+    return np.flatnonzero(begins)
 
 
 # --- alignment -----------------------------------------------------------------------------------
@@ -265,7 +287,7 @@ def _aligned(data: np.ndarray, offsets: np.ndarray, words: _Words) -> list[pa.Ar
         of_row[full] = of_text
         bounds.append(np.concatenate([[0], np.cumsum(of_row)]))
         ends.append(np.cumsum(size[ids[-1]]))
-    closes = common_ends(*ends, *[np.unique(b) for b in bounds])
+    closes = common_ends(*ends, *[b[np.concatenate([[True], b[1:] > b[:-1]])] for b in bounds])
     return [_packed(ids[0], bounds[0]), _packed(ids[1], bounds[1]), _bitmaps(closes[0], bounds[0]), _bitmaps(closes[1], bounds[1])]
 
 
