@@ -29,11 +29,11 @@ from sessionflow.workdir import write_table
 
 _ADDED = ["shard_hash", "shard_no", "shard_grown", "shard_slot", "shard_size", "shard_crc32"]
 #: Rows that a chunk holds about; a hash prefix with more is dealt out over parts.
-CHUNK_ROWS = 1 << 16
+CHUNK_ROWS = 1 << 13
 #: Leading bits of the hash in the histogram: it has at most a million rows, whatever the corpus.
 PREFIX_BITS = 20
 #: First slots of so many parts at most are sent to all tasks; beyond that they are joined by a shuffle.
-SMALL_ROWS = 100_000
+SMALL_ROWS = 1 << 20
 #: Bytes that a row takes besides its text.
 ROW_BYTES = 8
 
