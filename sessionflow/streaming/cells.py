@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -26,6 +25,8 @@ START = ("t0", "o0", "m0")
 END = ("t1", "o1", "m1")
 FIELDS = (*START, *END, "n")
 ROWS_PER_REDUCTION = 262_144
+#: Cells that a state processor turns into one array.
+CELLS_PER_LOT = 4096
 
 
 def as_cells(
@@ -70,9 +71,16 @@ def as_cells(
     return packed.withWatermark("_at", watermark)
 
 
-def unpack(chunk: pd.DataFrame, fields: Sequence[str] = FIELDS) -> dict[str, np.ndarray]:
-    """The fields of the cells of a chunk, one array each."""
-    return dict(zip(fields, np.stack(chunk["cell"].to_numpy()).T))
+def lots(cells: Iterable[Sequence[int]], size: int | None = None) -> Iterator[np.ndarray]:
+    """Cells as arrays of one row each, some thousands together."""
+    held = []
+    for cell in cells:
+        held.append(cell)
+        if len(held) >= (size or CELLS_PER_LOT):
+            yield np.array(held, dtype=np.int64)
+            held = []
+    if held:
+        yield np.array(held, dtype=np.int64)
 
 
 def _reduced(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -103,7 +111,7 @@ def _reduced(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.mapInArrow(run, schemas.with_keys(rows.schema, keys, longs))
 
 
-def merged(chunks: Iterable[pd.DataFrame], width_ms: int) -> dict[str, np.ndarray]:
+def merged(chunks: Iterable[np.ndarray], width_ms: int) -> dict[str, np.ndarray]:
     """Cells of all chunks in time order, one array per field, each cell once.
 
     Chunks wait until they are as many as the cells so far, so that even a key whose rows hardly
@@ -112,7 +120,7 @@ def merged(chunks: Iterable[pd.DataFrame], width_ms: int) -> dict[str, np.ndarra
     cells = {f: np.empty(0, dtype=np.int64) for f in FIELDS}
     waiting, size = [], 0
     for chunk in chunks:
-        waiting.append(unpack(chunk))
+        waiting.append(dict(zip(FIELDS, chunk.T)))
         size += len(chunk)
         if size >= max(ROWS_PER_REDUCTION, len(cells["n"])):
             cells = _merge([cells, *waiting], width_ms)

@@ -1,24 +1,24 @@
 """Keyed-state operators on streams.
 
 With ``pre_aggregate=True`` rows are first reduced to time cells (``streaming.cells``), in the tasks that
-read them; by default each row is a cell, and lateness is exact to the row. Cells reach a state function as Arrow batches grouped by key, after late ones have been dropped by the
-watermark. Each function folds the batches one at a time and keeps a small state per key; the rows
+read them; by default each row is a cell, and lateness is exact to the row. Cells of a key reach its state processor
+one after the other, after late ones have been dropped by the watermark. They are folded some thousands at a time into a small state
+per key, which is a row of values with the timer that will end it; the rows
 of a key are never put together. Micro-batches should be bounded by the rate limits of the sources.
 
 What these operators emit depends on how rows fall into micro-batches; the operators on tables
-define the same sessions independent of that.
+define the same sessions independent of that, and so does ``streaming.ordered``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sessionflow import schemas
 from sessionflow.defaults import (
@@ -30,7 +30,7 @@ from sessionflow.defaults import (
     WATERMARK,
 )
 from sessionflow.plans.islands import key_list
-from sessionflow.streaming.cells import as_cells, merged, unpack
+from sessionflow.streaming.cells import as_cells, lots, merged
 from sessionflow.streaming.folds import Open, Step, advance
 
 # Width of the cells of operators that know no gap.
@@ -39,70 +39,91 @@ CELL_MS = 30_000
 COUNTED = ("n",)
 SPANNED = ("t0", "t1")
 
-Key = tuple
-Chunks = Iterator[pd.DataFrame]
 
+class Keyed(StatefulProcessor):
+    """A state of some values per key, and the event time at which it ends.
 
-def _keyed(
-    cells: DataFrame, keys: list[str], fn: Callable, rest: T.StructType, state: T.StructType
-) -> DataFrame:
-    """Event-time state per key over cells."""
-    return cells.groupBy(*keys).applyInPandasWithState(
-        fn,
-        schemas.with_keys(cells.schema, keys, rest),
-        state,
-        "update",
-        GroupStateTimeout.EventTimeTimeout,
-    )
+    A key without rows in a micro-batch ends once the watermark is later than that time. Subclasses say what rows do to the state, and
+    what its end reports.
+    """
 
+    def __init__(self, columns: list[str], state: T.StructType, timeout_ms: int):
+        self._row = Row(*columns)
+        self._schema = T.StructType([*state.fields, T.StructField("deadline", T.LongType())])
+        self._timeout_ms = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._state = handle.getValueState("state", self._schema)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        stored = self._state.get()
+        now = max(timerValues.getCurrentWatermarkInMs(), 0)
+        state, deadline, found = self.fold(key, stored[:-1] if stored else None, (r["cell"] for r in rows), now)
+        if stored and stored[-1] != deadline:
+            self._handle.deleteTimer(stored[-1])
+        if state is None:
+            if stored:
+                self._state.clear()
+        else:
+            if not stored or stored[-1] != deadline:
+                self._handle.registerTimer(deadline)
+            self._state.update((*state, deadline))
+        yield from found
 
-def _frame(keys: list[str], key: Key, **columns) -> pd.DataFrame:
-    n = len(next(iter(columns.values())))
-    return pd.DataFrame({k: [v] * n for k, v in zip(keys, key)} | columns)
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        stored = self._state.get()
+        self._state.clear()
+        yield from self.ended(key, stored[:-1], timerValues.getCurrentWatermarkInMs())
 
+    def close(self) -> None:
+        pass
 
-def _arm(state: GroupState, timeout_ms: int) -> None:
-    now = state.getCurrentWatermarkMs()
-    state.setTimeoutTimestamp(max(now + timeout_ms, now + 1))
+    def fold(self, key: tuple, stored: tuple | None, cells: Iterator, now: int) -> tuple[tuple | None, int | None, Iterator[Row]]:
+        """The new state and its end, or neither, and the rows to report."""
+        raise NotImplementedError
+
+    def ended(self, key: tuple, stored: tuple, now: int) -> Iterator[Row]:
+        raise NotImplementedError
+
+    def _later(self, now: int) -> int:
+        return max(now + self._timeout_ms, now + 1)
+
+    def _rows(self, key: tuple, *columns) -> Iterator[Row]:
+        for values in zip(*(np.asarray(c).tolist() for c in columns)):
+            yield self._row(*key, *values)
+
+
+def _keyed(cells: DataFrame, keys: list[str], kind: type[Keyed], rest: T.StructType, state: T.StructType, timeout_ms: int, *options) -> DataFrame:
+    """Event-time state per key over cells."""
+    out = schemas.with_keys(cells.schema, keys, rest)
+    return cells.groupBy(*keys).transformWithState(kind(out.names, state, timeout_ms, *options), out, "update", "eventTime")
 
 
 # --- trips ---------------------------------------------------------------------------------------
 
 
-def _trip_rows(keys, key, start, end, start_value, end_value, ended) -> pd.DataFrame:
-    return _frame(
-        keys,
-        key,
-        tripStartTime=start,
-        tripEndTime=end,
-        startMileage=start_value,
-        endMileage=end_value,
-        # cut towards zero: an end that receded below the start gives a negative length
-        tripDuration=np.trunc((end - start) / 1000).astype(np.int64),
-        tripDistance=end_value - start_value,
-        isTripEnded=ended,
-    )
+class Trips(Keyed):
+    def __init__(self, columns: list[str], state: T.StructType, timeout_ms: int, gap_ms: int, recede: bool, progress: bool):
+        super().__init__(columns, state, timeout_ms)
+        self._gap_ms, self._recede, self._progress = gap_ms, recede, progress
 
+    def fold(self, key, stored, cells, now):
+        step = advance(Open(*stored) if stored else None, merged(lots(cells), self._gap_ms + 1), self._gap_ms, self._recede)
+        left = step.open
+        shown = _shown(step, self._progress)
+        ended = np.arange(len(step.start_ms)) < len(step.start_ms) - 1
+        columns = (step.start_ms, step.end_ms, step.start_value, step.end_value, ended)
+        state = (left.start_ms, left.end_ms, left.start_value, left.end_value)
+        return state, self._later(now), self._trips(key, *[c[:shown] for c in columns])
 
-def _trip_function(keys: list[str], gap_ms: int, timeout_ms: int, recede: bool, progress: bool):
-    def fold(key: Key, chunks: Chunks, state: GroupState):
-        if state.hasTimedOut:
-            columns = np.array(state.get)[:, None]
-            state.remove()
-            yield _trip_rows(keys, key, *columns, np.array([True]))
-            return
-        stored = Open(*state.get) if state.exists else None
-        step = advance(stored, merged(chunks, gap_ms + 1), gap_ms, recede)
-        now = step.open
-        state.update((now.start_ms, now.end_ms, now.start_value, now.end_value))
-        _arm(state, timeout_ms)
-        shown = _shown(step, progress)
-        if shown:
-            ended = np.arange(len(step.start_ms)) < len(step.start_ms) - 1
-            columns = (step.start_ms, step.end_ms, step.start_value, step.end_value, ended)
-            yield _trip_rows(keys, key, *[c[:shown] for c in columns])
+    def ended(self, key, stored, now):
+        return self._trips(key, *np.array(stored)[:, None], np.array([True]))
 
-    return fold
+    def _trips(self, key, start, end, start_value, end_value, ended) -> Iterator[Row]:
+        # cut towards zero: an end that receded below the start gives a negative length
+        duration = np.trunc((end - start) / 1000).astype(np.int64)
+        return self._rows(key, start, end, start_value, end_value, duration, end_value - start_value, ended)
 
 
 def _shown(step: Step, progress: bool) -> int:
@@ -130,8 +151,7 @@ def trips(
     last rows plus ``timeout_ms``; a trip can therefore be cut by the timeout alone. Measure and
     tiebreak are integers; rows without time or measure are left out.
     """
-    fold = _trip_function(key_list(key), gap_ms, timeout_ms, end_may_recede, progress=False)
-    return _trip_stream(df, key, ts, measure, tiebreak, gap_ms, watermark, pre_aggregate, fold)
+    return _trip_stream(df, key, ts, measure, tiebreak, gap_ms, timeout_ms, watermark, pre_aggregate, end_may_recede, False)
 
 
 def trip_status(
@@ -150,41 +170,35 @@ def trip_status(
 
     There is no progress row when the last row of the micro-batch itself opened a trip.
     """
-    fold = _trip_function(key_list(key), gap_ms, timeout_ms, end_may_recede, progress=True)
-    return _trip_stream(df, key, ts, measure, tiebreak, gap_ms, watermark, pre_aggregate, fold)
+    return _trip_stream(df, key, ts, measure, tiebreak, gap_ms, timeout_ms, watermark, pre_aggregate, end_may_recede, True)
 
 
-def _trip_stream(df, key, ts, measure, tiebreak, gap_ms, watermark, pre_aggregate, fold) -> DataFrame:
+def _trip_stream(df, key, ts, measure, tiebreak, gap_ms, timeout_ms, watermark, pre_aggregate, recede, progress) -> DataFrame:
     keys = key_list(key)
     signals = df.where(F.col(ts).isNotNull() & F.col(measure).isNotNull())
     cells = as_cells(signals, keys, ts, gap_ms + 1, watermark, measure, tiebreak, pre_aggregate)
-    return _keyed(cells, keys, fold, schemas.TRIP, schemas.TRIP_STATE)
+    return _keyed(cells, keys, Trips, schemas.TRIP, schemas.TRIP_STATE, timeout_ms, gap_ms, recede, progress)
 
 
 # --- stations ------------------------------------------------------------------------------------
 
 
-def _station_function(keys: list[str], gap_ms: int, timeout_ms: int, recede: bool):
-    def fold(key: Key, chunks: Chunks, state: GroupState):
-        if state.hasTimedOut:
-            _, end = state.get
-            now = state.getCurrentWatermarkMs()
-            state.remove()
-            yield _frame(keys, key, startTime=[now], endTime=[end], status=[True])
-            return
-        stored = Open(*state.get) if state.exists else None
-        step = advance(stored, merged(chunks, gap_ms + 1), gap_ms, recede)
-        state.update((step.open.start_ms, step.open.end_ms))
-        _arm(state, timeout_ms)
+class Outages(Keyed):
+    def __init__(self, columns: list[str], state: T.StructType, timeout_ms: int, gap_ms: int, recede: bool):
+        super().__init__(columns, state, timeout_ms)
+        self._gap_ms, self._recede = gap_ms, recede
+
+    def fold(self, key, stored, cells, now):
+        step = advance(Open(*stored) if stored else None, merged(lots(cells), self._gap_ms + 1), self._gap_ms, self._recede)
         # An outage lies between two transfers; the open transfer is progress.
         start, end = step.start_ms[1:], step.end_ms[:-1]
         if not step.tail_is_new:
             start, end = np.r_[start, step.open.start_ms], np.r_[end, step.open.end_ms]
-        if len(start):
-            status = np.arange(len(start)) < len(step.start_ms) - 1
-            yield _frame(keys, key, startTime=start, endTime=end, status=status)
+        status = np.arange(len(start)) < len(step.start_ms) - 1
+        return (step.open.start_ms, step.open.end_ms), self._later(now), self._rows(key, start, end, status)
 
-    return fold
+    def ended(self, key, stored, now):
+        return self._rows(key, [now], [stored[1]], [True])
 
 
 def station_outages(
@@ -204,26 +218,21 @@ def station_outages(
     moment, which lags behind the newest rows and may precede the end.
     """
     keys = key_list(key)
-    fold = _station_function(keys, gap_ms, timeout_ms, end_may_recede)
     timed = df.where(F.col(ts).isNotNull())
     cells = as_cells(timed, keys, ts, gap_ms + 1, watermark, pre_aggregate=pre_aggregate)
-    return _keyed(cells, keys, fold, schemas.STATION_EVENT, schemas.SPAN_STATE)
+    return _keyed(cells, keys, Outages, schemas.STATION_EVENT, schemas.SPAN_STATE, timeout_ms, gap_ms, end_may_recede)
 
 
 # --- counts --------------------------------------------------------------------------------------
 
 
-def _count_function(keys: list[str], timeout_ms: int):
-    def fold(key: Key, chunks: Chunks, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        n = (state.get[0] if state.exists else 0) + sum(int(unpack(c, COUNTED)["n"].sum()) for c in chunks)
-        state.update((n,))
-        _arm(state, timeout_ms)
-        yield _frame(keys, key, eventCount=[n])
+class Counts(Keyed):
+    def fold(self, key, stored, cells, now):
+        n = (stored[0] if stored else 0) + sum(n for [n] in cells)
+        return (n,), self._later(now), self._rows(key, [n])
 
-    return fold
+    def ended(self, key, stored, now):
+        return iter(())
 
 
 def pv_counts_expiring(
@@ -242,46 +251,30 @@ def pv_counts_expiring(
     cells = as_cells(
         df, keys, ts, CELL_MS, watermark, pre_aggregate=pre_aggregate, fields=COUNTED
     )
-    fold = _count_function(keys, timeout_ms)
-    return _keyed(cells, keys, fold, schemas.EVENT_COUNT, schemas.COUNT_STATE)
+    return _keyed(cells, keys, Counts, schemas.EVENT_COUNT, schemas.COUNT_STATE, timeout_ms)
 
 
 # --- spans ---------------------------------------------------------------------------------------
 
 
-def _span_function(keys: list[str], timeout_ms: int):
-    def row(key, start, end, expired):
-        return _frame(
-            keys,
-            key,
-            startTimestampMs=[start],
-            endTimestampMs=[end],
-            durationMs=[end - start],
-            expired=[expired],
-        )
-
-    def fold(key: Key, chunks: Chunks, state: GroupState):
-        if state.hasTimedOut:
-            start, end = state.get
-            state.remove()
-            yield row(key, start, end, True)
-            return
-        bounds = [state.get] if state.exists else []
-        for chunk in chunks:
-            cells = unpack(chunk, SPANNED)
-            bounds.append((int(cells["t0"].min()), int(cells["t1"].max())))
-        start, end = min(b[0] for b in bounds), max(b[1] for b in bounds)
-        yield row(key, start, end, False)
-        deadline = end + timeout_ms
+class Spans(Keyed):
+    def fold(self, key, stored, cells, now):
+        start, end = stored if stored else (None, None)
+        for first, last in cells:
+            start = first if start is None else min(start, first)
+            end = last if end is None else max(end, last)
+        deadline = end + self._timeout_ms
         # the clock may have leapt past the deadline within the micro-batch
-        if deadline <= max(state.getCurrentWatermarkMs(), 0):
-            state.remove()
-            yield row(key, start, end, True)
-        else:
-            state.update((start, end))
-            state.setTimeoutTimestamp(deadline)
+        if deadline <= now:
+            again = ([start, start], [end, end], [end - start] * 2, [False, True])
+            return None, None, self._rows(key, *again)
+        return (start, end), deadline, self._span(key, start, end, False)
+
+    def ended(self, key, stored, now):
+        return self._span(key, *stored, True)
 
-    return fold
+    def _span(self, key, start, end, expired) -> Iterator[Row]:
+        return self._rows(key, [start], [end], [end - start], [expired])
 
 
 def activity_span(
@@ -297,9 +290,8 @@ def activity_span(
     Reported for each micro-batch with rows of the user, and once more with ``expired`` when the
     watermark has passed the end by ``timeout_ms``.
     """
-    fold = _span_function([key], timeout_ms)
     timed = df.where(F.col(ts).isNotNull())
     cells = as_cells(
         timed, [key], ts, CELL_MS, watermark, pre_aggregate=pre_aggregate, fields=SPANNED
     )
-    return _keyed(cells, [key], fold, schemas.SPAN, schemas.SPAN_STATE)
+    return _keyed(cells, [key], Spans, schemas.SPAN, schemas.SPAN_STATE, timeout_ms)

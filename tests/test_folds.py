@@ -3,10 +3,9 @@
 import random
 
 import numpy as np
-import pandas as pd
 import pytest
 
-from sessionflow.streaming.cells import merged
+from sessionflow.streaming.cells import lots, merged
 from sessionflow.streaming.folds import Open, advance
 
 
@@ -33,7 +32,7 @@ def as_chunks(batch, rng):
         n = rng.randint(1, len(batch))
         part, batch = batch[:n], batch[n:]
         t, m = np.array([p[0] for p in part]), np.array([p[1] for p in part])
-        yield pd.DataFrame({"cell": list(np.stack([t, m, m, t, m, m, np.ones_like(t)]).T)})
+        yield np.stack([t, m, m, t, m, m, np.ones_like(t)]).T
 
 
 @pytest.mark.parametrize("recede", [False, True])
@@ -65,5 +64,5 @@ def test_cells_do_not_depend_on_when_they_are_merged(monkeypatch, at_once):
 
 
 def test_two_rows_at_once_are_not_alone():
-    cells = merged([pd.DataFrame({"cell": [np.array([100, i, i, 100, i, i, 1]) for i in (1, 2)]})], 11)
+    cells = merged(lots([100, i, i, 100, i, i, 1] for i in (1, 2)), 11)
     assert not advance(Open(0, 0), cells, 10).tail_is_new
