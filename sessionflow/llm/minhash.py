@@ -6,8 +6,9 @@ soon as the posterior probability of a similarity at the threshold falls below a
 probability. What is left is verified on the full sets.
 
 Only components are wanted, so a bucket of ``n`` classes does not give ``n * n`` pairs. Each member is
-first compared with the smallest one of its bucket. Where a bucket still holds several components after
-that, the members outside the largest one are compared, in blocks, with all members of other components; a
+first compared with the one of its bucket that shares its bands with most others: the original of many near copies is
+such a one. Where a bucket still holds several components after
+that, the members outside the largest one are compared, in cells of bounded bytes, with all members of other components; a
 comparison that could only confirm a known component is left out. No link between components is lost.
 
 Defined results: a null or blank text has no shingles and links with nothing; a text of fewer words than a
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionflow.llm.batches import write_large
 from sessionflow.llm.components import components
 from sessionflow.llm.texts import mixed, shingle_hashes, slices, word_hashes
 from sessionflow.workdir import drop_table, write_table
@@ -34,7 +36,8 @@ from sessionflow.workdir import drop_table, write_table
 BANDS, BAND_ROWS = 40, 6
 BATCH_ROWS = 30
 MISS = 1e-7
-BLOCK = 256
+#: Bytes of signatures and sets that a cell holds of outsiders and of all members of a bucket.
+OUTSIDER_BYTES, MEMBER_BYTES = 12 << 20, 24 << 20
 _SEEDS = np.random.default_rng(20240501).integers(1, 1 << 32, size=(2, BANDS * BAND_ROWS), dtype=np.uint32)
 _SEEDS[0] |= 1
 
@@ -187,10 +190,15 @@ def _cell_links(percent: int):
             return p
 
         links = []
-        for i in np.flatnonzero(frame["outsider"].to_numpy()):
-            others = np.flatnonzero(parts != parts[i])
-            left, matches = _stay(np.broadcast_to(signatures[i], (len(others), signatures.shape[1])), signatures[others], steps)
-            for j in others[left[np.argsort(-matches, kind="stable")]]:
+        outsider = frame["outsider"].to_numpy()
+        for i in np.flatnonzero(outsider):
+            left = np.flatnonzero(~outsider & (parts != parts[i]))
+            matches, done = np.zeros(len(left), dtype=np.int64), 0
+            for n, least in steps:
+                matches += (signatures[left, done:n] == signatures[i, done:n]).sum(axis=1)
+                stay = matches >= least
+                left, matches, done = left[stay], matches[stay], n
+            for j in left[np.argsort(-matches, kind="stable")]:
                 if root(parts[i]) != root(parts[j]) and _similar(sets[i], sets[j], percent):
                     joined[root(parts[i])] = root(parts[j])
                     links.append((ids[i], ids[j]))
@@ -210,11 +218,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = full.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"))
     buckets = write_table(_buckets(full, classes), "buckets")
     needed = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    material = write_table(_material(rows.join(needed, "doc_id", "left_semi"), width).dropDuplicates(["doc_id"]), "material")
-    # every member against the smallest of its bucket
-    leaders = buckets.groupBy("key").agg(F.min("rep").alias("a"))
-    pairs = buckets.join(leaders, "key").select("a", F.col("rep").alias("b")).where("a <> b").distinct()
-    links = write_table(_verify(pairs, material, percent), "verified")
+    material = write_large(_material(rows.join(needed, "doc_id", "left_semi"), width).dropDuplicates(["doc_id"]), "material")
+    pairs = _leader_pairs(buckets)
+    links = write_large(_verify(pairs, material, percent), "verified")
     links = links.unionByName(_remaining_links(buckets, components(links), material, percent))
     # classes whose smallest members are one document are one component
     found = write_table(components(links), "components")
@@ -237,31 +243,37 @@ def _buckets(full: DataFrame, classes: DataFrame) -> DataFrame:
     return hits.join(classes, ["set_a", "set_b"]).select("key", "rep").distinct()
 
 
+def _leader_pairs(buckets: DataFrame) -> DataFrame:
+    """Every member of a bucket beside the one whose buckets hold most members, the smallest of equal ones."""
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
+    reach = buckets.join(sizes, "key").groupBy("rep").agg(F.sum("n").alias("reach"))
+    ranked = buckets.join(reach, "rep")
+    leaders = ranked.groupBy("key").agg(F.max(F.struct("reach", (-F.col("rep")).alias("rep"))).alias("top"))
+    pairs = buckets.join(leaders.select("key", (-F.col("top.rep")).alias("a")), "key").where("a <> rep")
+    return pairs.select("a", F.col("rep").alias("b")).distinct()
+
+
 def _remaining_links(buckets: DataFrame, found: DataFrame, material: DataFrame, percent: int) -> DataFrame:
     """Links between the components that are left in each bucket."""
     part = F.coalesce("component", "rep").alias("part")
-    members = buckets.join(found, buckets["rep"] == found["id"], "left").select("key", "rep", part)
-    sizes = members.groupBy("key", "part").agg(F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("mark"))
+    held = material.select(F.col("doc_id").alias("rep"), (F.octet_length("signature") + F.octet_length("shingles")).alias("bytes"))
+    members = buckets.join(found, buckets["rep"] == found["id"], "left").select("key", "rep", part).join(held, "rep")
+    mark = F.sum(F.xxhash64("rep").cast("decimal(38,0)"))
+    sizes = members.groupBy("key", "part").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), mark.alias("mark"))
+    largest = F.max(F.struct("n", "part", "bytes"))
     open_ = sizes.groupBy("key").agg(
-        F.max_by("part", F.struct("n", "part")).alias("main"),
-        F.count("*").alias("parts"),
-        F.sum("n").alias("size"),
-        F.sum("mark").alias("mark"),
+        largest.alias("main"), F.count("*").alias("parts"), F.sum("n").alias("size"), F.sum("bytes").alias("bytes"), F.sum("mark").alias("mark")
     ).where("parts > 1 and size > 2")
     # bands with the same members are one bucket
-    distinct = open_.groupBy("size", "mark").agg(F.min(F.struct("key", "main")).alias("k"))
-    buckets_left = distinct.select(F.col("k.key").alias("key"), F.col("k.main").alias("main"), "size")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
-    rows = members.join(buckets_left, "key").select(
-        "key", F.col("rep").alias("doc_id"), "part", (F.col("part") != F.col("main")).alias("outsider"), blocks.alias("blocks"),
-        F.pmod(F.xxhash64("rep"), blocks.cast("bigint")).cast("int").alias("block"),
-    )
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    outside = rows.where("outsider").withColumn("left", F.col("block")).withColumn("right", F.explode(every))
-    taken = rows.withColumn("left", F.explode(every)).withColumn("right", F.col("block")).withColumn("outsider", F.lit(False))
-    # cells whose block has no outsider hold nothing to compare
-    busy = outside.select("key", "left", "right").distinct()
-    cells = outside.unionByName(taken.join(busy, ["key", "left", "right"], "left_semi").select(outside.columns))
-    filled = cells.select("key", "left", "right", "doc_id", "part", "outsider").join(material, "doc_id")
-    grouped = filled.groupBy("key", "left", "right")
-    return grouped.applyInPandas(_cell_links(percent), "a long, b long")
+    distinct = open_.groupBy("size", "mark").agg(F.min(F.struct("key", "main", "bytes")).alias("k")).select("k.*")
+    rights = F.ceil(F.col("bytes") / MEMBER_BYTES).cast("int")
+    lefts = F.greatest(F.lit(1), F.ceil((F.col("bytes") - F.col("main.bytes")) / OUTSIDER_BYTES)).cast("int")
+    left_open = distinct.select("key", F.col("main.part").alias("main"), lefts.alias("lefts"), rights.alias("rights"))
+    rows = members.join(left_open, "key").withColumn("outsider", F.col("part") != F.col("main"))
+    dealt = F.xxhash64("rep")
+    left, right = F.pmod(dealt, "lefts").cast("int"), F.pmod(dealt, "rights").cast("int")
+    outside = rows.where("outsider").withColumn("left", left).withColumn("right", F.explode(F.sequence(F.lit(0), F.col("rights") - 1)))
+    taken = rows.withColumn("left", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1))).withColumn("right", right)
+    cells = outside.unionByName(taken.withColumn("outsider", F.lit(False)))
+    cells = cells.select("key", "left", "right", "part", "outsider", F.col("rep").alias("doc_id"))
+    return cells.join(material, "doc_id").groupBy("key", "left", "right").applyInPandas(_cell_links(percent), "a long, b long")
