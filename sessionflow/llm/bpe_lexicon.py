@@ -22,9 +22,9 @@ import os
 import re
 import struct
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
+from sessionflow.llm.texts import slices
 from sessionflow.workdir import drop_table, shared_dir, write_table
 
 #: Words in the automaton; its file has a few megabytes whatever the size of the corpus.
@@ -46,14 +47,48 @@ COUNTED_WORDS = 1 << 19
 WORD_CACHE, PIECE_CACHE = 1 << 16, 1 << 17
 #: Bytes up to which a list serves better than a queue.
 SHORT_PIECE = 48
-
-# What str.split() takes for white space and Unicode does not.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_WORD = re.compile("[^\t-\r \x85\xa0  -     　]+")
-
-
-def split_words(text: str) -> list[str]:
-    return _WORD.findall(text) if _SEPARATORS.search(text) else text.split()
+#: Pieces that merge side by side.
+MERGED_ROWS = 8192
+
+#: Bytes of texts that are worked on at once; a longer text is a slice of its own.
+SLICE_BYTES = 1 << 20
+# Unicode white space in UTF-8, by first byte, second byte and third byte.
+_ONE_BYTE = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]
+_TWO_BYTES = [(0xC2, 0x85), (0xC2, 0xA0)]
+_THREE_BYTES = [(0xE1, 0x9A, [0x80]), (0xE2, 0x80, [*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF]), (0xE2, 0x81, [0x9F]), (0xE3, 0x80, [0x80])]
+
+
+def white_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to white space."""
+    table = np.zeros(256, dtype=bool)
+    table[_ONE_BYTE] = True
+    found = table[data]
+    lead = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    one, two = (data[np.minimum(lead + i, len(data) - 1)] if len(data) else lead for i in (1, 2))
+    for first, second in _TWO_BYTES:
+        at = lead[(data[lead] == first) & (one == second)]
+        found[at] = found[at + 1] = True
+    for first, second, thirds in _THREE_BYTES:
+        at = lead[(data[lead] == first) & (one == second) & np.isin(two, thirds)]
+        found[at] = found[at + 1] = found[at + 2] = True
+    return found
+
+
+def coded_words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of some texts, the place of each word among them, and the number of words of each text."""
+    inside = ~white_space(data)
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    edges = offsets[:-1][offsets[:-1] < len(data)]
+    begins[edges] = inside[edges]
+    starts = np.flatnonzero(begins)
+    place = np.concatenate([[0], np.cumsum(inside)])
+    bounds = np.concatenate([place[starts], place[-1:]])
+    kept = np.ascontiguousarray(data[inside])
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(kept)])
+    coded = words.dictionary_encode()
+    number = np.diff(np.searchsorted(starts, offsets))
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), number
 
 
 class Vocabulary:
@@ -74,9 +109,106 @@ class Vocabulary:
         self._special = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self._pieces = regex.compile(split["pattern"]["Regex"])
+        self._tables()
+        # the bytes of each token, and the blank that joins it to the next one
+        strings = [t.encode() + b" " for t in self.tokens]
+        self.joined = np.frombuffer(b"".join(strings), dtype=np.uint8)
+        self.joined_sizes = np.array(list(map(len, strings)), dtype=np.int64)
+        self.joined_starts = np.cumsum(self.joined_sizes) - self.joined_sizes
         self.merged = lru_cache(maxsize=WORD_CACHE)(self._merge_word)
         self.piece = lru_cache(maxsize=PIECE_CACHE)(self._merge_piece)
 
+    def _tables(self) -> None:
+        """Merges as sorted pairs of ids, and the ids of bytes within and at the end of a piece."""
+        pairs = [(self.ids[a] << 32 | self.ids[b], r, self.ids[a + b]) for (a, b), r in self.ranks.items()]
+        pairs.sort()
+        self._pairs, self._pair_ranks, self._pair_ids = (np.array(c, dtype=np.int64) for c in zip(*pairs))
+        self._byte_ids = np.array([self.ids[c] for c in _BYTE_CHARS], dtype=np.int64)
+        self._end_ids = np.array([self.ids[c + self.end] for c in _BYTE_CHARS], dtype=np.int64)
+
+    def _ranked(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rank of each pair of ids and the id it merges to; pairs that do not merge rank last."""
+        key = first << 32 | second
+        at = np.minimum(np.searchsorted(self._pairs, key), len(self._pairs) - 1)
+        hit = (self._pairs[at] == key) & (first >= 0) & (second >= 0)
+        return np.where(hit, self._pair_ranks[at], len(self._pairs)), self._pair_ids[at]
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words without white space, one after the other, and how many each has; pieces of all words merge side by side."""
+        pieces: list[bytes] = []
+        number = np.ones(len(words), dtype=np.int64)
+        apart: dict[int, tuple[int, ...]] = {}
+        for i, word in enumerate(words):
+            if word.isascii() and word.isalpha():
+                pieces.append(word.lower().encode())
+            elif self._special.search(word):
+                apart[i], number[i] = self._merge_word(word), 0
+            else:
+                found = self._split(word)
+                pieces.extend(x.encode() for x in found)
+                number[i] = len(found)
+        ids, counts = self._merge_pieces(pieces)
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(number)])]
+        lengths = np.diff(ends)
+        if not apart:
+            return ids, lengths
+        parts = [np.array(apart[i], dtype=np.uint32) if i in apart else ids[a:b] for i, (a, b) in enumerate(zip(ends, ends[1:]))]
+        return np.concatenate(parts), np.array(list(map(len, parts)), dtype=np.int64)
+
+    def _merge_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array(list(map(len, pieces)), dtype=np.int64)
+        counts = np.zeros(len(pieces), dtype=np.int64)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        low = 0
+        for high in (4, 8, 12, 16, 24, 32, SHORT_PIECE):
+            rows = np.flatnonzero((sizes > low) & (sizes <= high))
+            low = high
+            for start in range(0, len(rows), MERGED_ROWS):
+                some = rows[start : start + MERGED_ROWS]
+                symbols = self._merge_rows([pieces[i] for i in some.tolist()], sizes[some], high)
+                counts[some] = (symbols >= 0).sum(axis=1)
+                found.append((some, symbols[symbols >= 0]))
+        for i in np.flatnonzero(sizes > SHORT_PIECE):
+            ids = self.piece(pieces[i].decode())
+            counts[i] = len(ids)
+            found.append((np.array([i]), np.array(ids, dtype=np.int64)))
+        out = np.zeros(int(counts.sum()), dtype=np.uint32)
+        first = np.cumsum(counts) - counts
+        for rows, ids in found:
+            out[_runs(first[rows], counts[rows])] = ids
+        return out, counts
+
+    def _merge_rows(self, pieces: list[bytes], sizes: np.ndarray, width: int) -> np.ndarray:
+        """One piece per row, as ids from the left: the pair of the lowest rank, the leftmost first, until none is left."""
+        data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        symbols = np.full((len(pieces), width + 1), -1, dtype=np.int64)  # the last column stays empty
+        symbols[:, :width][np.arange(width) < sizes[:, None]] = self._byte_ids[data]
+        every = np.arange(len(pieces))
+        symbols[every, sizes - 1] = self._end_ids[data[np.cumsum(sizes) - 1]]
+        ranks, _ = self._ranked(symbols[:, :-1], symbols[:, 1:])
+        place = np.arange(width + 1)
+        active = every
+        while len(active):
+            at = ranks[active].argmin(axis=1)
+            merges = ranks[active, at] < len(self._pairs)
+            active, at = active[merges], at[merges]
+            if not len(active):
+                break
+            own = np.arange(len(active))
+            here = symbols[active]
+            _, joined = self._ranked(here[own, at], here[own, at + 1])
+            here = np.take_along_axis(here, np.minimum(place + (place > at[:, None]), width), axis=1)
+            here[own, at] = joined
+            order = ranks[active]
+            order = np.take_along_axis(order, np.minimum(place[:-1] + (place[:-1] > at[:, None]), width - 1), axis=1)
+            order[:, -1] = len(self._pairs)
+            order[own, at] = self._ranked(joined, here[own, at + 1])[0]
+            left = np.maximum(at - 1, 0)
+            before = self._ranked(here[own, left], here[own, left + 1])[0]
+            order[own, left] = np.where(at > 0, before, order[own, left])
+            symbols[active], ranks[active] = here, order
+        return symbols
+
     def _merge_word(self, word: str) -> tuple[int, ...]:
         """Token ids of a word without white space."""
         found, at = [], 0
@@ -88,14 +220,12 @@ class Vocabulary:
         return tuple(found)
 
     def _encode_plain(self, word: str) -> list[int]:
+        return list(chain.from_iterable(map(self.piece, self._split(word))))
+
+    def _split(self, word: str) -> list[str]:
         # letter by letter, so that no letter looks at its neighbours
         normal = word.lower() if word.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", word)))
-        if normal.isascii() and normal.isalpha():
-            return self.piece(normal)
-        found: list[int] = []
-        for piece in self._pieces.findall(normal):
-            found.extend(self.piece(piece))
-        return found
+        return [normal] if normal.isascii() and normal.isalpha() else self._pieces.findall(normal)
 
     def _merge_piece(self, piece: str) -> list[int]:
         parts = [_BYTE_CHARS[b] for b in piece.encode()]
@@ -239,14 +369,15 @@ class Lexicon:
         cuts = np.cumsum(sizes)[:-1]
         self.keys, self.targets, self.outputs, self.final, self.offsets, self.ids = np.split(whole, cuts)
 
-    def lookup(self, words: list[bytes]) -> np.ndarray:
+    def lookup(self, words: pa.Array) -> np.ndarray:
         """The number of each word, or -1."""
         n = len(words)
         if not n or not len(self.keys):
             return np.full(n, -1, dtype=np.int64)
-        lengths = np.fromiter(map(len, words), dtype=np.int64, count=n)
-        data = np.frombuffer(b"".join(words), dtype=np.uint8)
-        first = np.cumsum(lengths) - lengths
+        words = words.cast(pa.large_binary())
+        offsets = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset : words.offset + n + 1]
+        first, lengths = offsets[:-1], np.diff(offsets)
+        data = np.frombuffer(words.buffers()[2], dtype=np.uint8)
         state = np.full(n, self.root, dtype=np.int64)
         number = np.zeros(n, dtype=np.int64)
         alive = np.flatnonzero((lengths > 0) & (lengths <= LONGEST_ENTRY))
@@ -278,23 +409,33 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``word, n`` over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        held: list[pa.Table] = []
+        size = 0
+        for batch in batches:
+            for _, data, offsets in slices(batch, "text", SLICE_BYTES):
+                words, codes, _ = coded_words(data, offsets)
+                held.append(pa.table({"word": words, "n": np.bincount(codes, minlength=len(words)).astype(np.int64)}))
+                size += len(words)
+                if size >= COUNTED_WORDS:
+                    held = [_summed(held)]
+                    size = held[0].num_rows
+                    if size >= COUNTED_WORDS // 2:
+                        yield from _word_rows(held.pop())
+                        size = 0
+        if held:
+            yield from _word_rows(_summed(held))
 
-        def counted() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
-            )
+    texts = docs.select(F.col(text_col).cast("string").cast("binary").alias("text"))
+    return texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-        for batch in batches:
-            for text in batch.column(0):
-                counts.update(split_words(text.as_py() or ""))
-                if len(counts) >= COUNTED_WORDS:
-                    yield counted()
-                    counts.clear()
-        yield counted()
 
-    partial = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "word string, n long")
-    return partial.groupBy("word").agg(F.sum("n").alias("n"))
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(tables).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+
+def _word_rows(table: pa.Table) -> list[pa.RecordBatch]:
+    named = table.set_column(0, "word", table.column("word").cast(pa.large_string()).cast(pa.string()))
+    return named.combine_chunks().to_batches(max_chunksize=10_000)
 
 
 def build_lexicon(docs: DataFrame, vocabulary_path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
@@ -340,65 +481,46 @@ def encode(docs: DataFrame, vocabulary_path: str, lexicon: str, text_col: str =
     kept = [f for f in docs.schema.fields if keep_text or f.name != text_col]
     schema = StructType([*kept, *added])
 
+    names = [f.name for f in kept]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, words = vocabulary(vocabulary_path), mapped(lexicon)
         for batch in batches:
-            start = 0
-            for stop in _stops(batch.column(text_col)):
-                part = batch.slice(start, stop - start)
-                texts = [t or "" for t in part.column(text_col).to_pylist()]
-                yield _encoded(part.select([f.name for f in kept]), texts, vocab, words, with_decoded)
-                start = stop
-
-    return docs.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(run, schema)
-
-
-def _stops(texts: pa.Array, limit: int = 4 << 20) -> Iterator[int]:
-    size = 0
-    for i, text in enumerate(texts):
-        size += len(text.as_buffer()) if text.is_valid else 0
-        if size >= limit or i == len(texts) - 1:
-            yield i + 1
-            size = 0
-
-
-def _encoded(part: pa.RecordBatch, texts: list[str], vocab: Vocabulary, lexicon: Lexicon, with_decoded: bool) -> pa.RecordBatch:
-    flat: list[str] = []
-    n_words = np.zeros(len(texts), dtype=np.int64)
-    for i, text in enumerate(texts):
-        words = split_words(text)
-        n_words[i] = len(words)
-        flat.extend(words)
-    index: dict[str, int] = {}
-    codes = np.array([index.setdefault(w, len(index)) for w in flat], dtype=np.int64)
-    distinct = list(index)
-    numbers = lexicon.lookup([w.encode() for w in distinct])
+            for part, data, offsets in slices(batch, "bpe_ids", SLICE_BYTES):
+                found = _encoded(data, offsets, vocab, words, with_decoded)
+                yield pa.RecordBatch.from_arrays([*part.select(names).columns, *found], schema.names)
+
+    # the texts travel under the name of a column that they become
+    return docs.withColumn("bpe_ids", F.col(text_col).cast("string").cast("binary")).select(*[f"`{n}`" for n in names], "bpe_ids").mapInArrow(run, schema)
+
+
+def _encoded(data: np.ndarray, offsets: np.ndarray, vocab: Vocabulary, lexicon: Lexicon, with_decoded: bool) -> list[pa.Array]:
+    distinct, codes, n_words = coded_words(data, offsets)
+    numbers = lexicon.lookup(distinct)
     known, other = np.flatnonzero(numbers >= 0), np.flatnonzero(numbers < 0)
-    merged = [vocab.merged(distinct[i]) for i in other]
+    merged, merged_sizes = vocab.encode_words([w.decode("utf-8", "replace") for w in distinct.take(pa.array(other)).to_pylist()])
     lengths = np.zeros(len(distinct), dtype=np.int64)
     begin = lexicon.offsets[numbers[known]].astype(np.int64)
     lengths[known] = lexicon.offsets[numbers[known] + 1] - begin
-    lengths[other] = list(map(len, merged))
+    lengths[other] = merged_sizes
     first = np.cumsum(lengths) - lengths
     table = np.zeros(int(lengths.sum()), dtype=np.uint32)
     table[_runs(first[known], lengths[known])] = lexicon.ids[_runs(begin, lengths[known])]
-    table[_runs(first[other], lengths[other])] = [i for ids in merged for i in ids]
+    table[_runs(first[other], lengths[other])] = merged
     sizes = lengths[codes]
-    ends = np.cumsum(sizes)
     tokens = table[_runs(first[codes], sizes)]
-    word_ends = np.cumsum(n_words)
-    token_ends = np.concatenate([[0], ends])[word_ends]
-    token_starts = np.concatenate([[0], token_ends[:-1]])
-    packed = [tokens[a:b].astype("<u4").tobytes() for a, b in zip(token_starts, token_ends)]
-    columns = [*part.columns, pa.array(packed, pa.binary()), pa.array(token_ends - token_starts, pa.int64())]
-    names = [*part.schema.names, "bpe_ids", "bpe_tokens"]
-    if with_decoded:
-        strings = [vocab.decode(table[a : a + n].tolist()) for a, n in zip(first, lengths)]
-        order = codes.tolist()
-        starts = word_ends - n_words
-        decoded = [" ".join([strings[c] for c in order[a:b]]) for a, b in zip(starts, word_ends)]
-        columns, names = [*columns, pa.array(decoded, pa.string())], [*names, "bpe_decoded"]
-    return pa.RecordBatch.from_arrays(columns, names)
+    ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(n_words)])]
+    ids = tokens.astype("<u4")
+    found = [pa.array([ids[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()), pa.array(np.diff(ends), pa.int64())]
+    return [*found, _decoded(tokens, ends, vocab)] if with_decoded else found
+
+
+def _decoded(tokens: np.ndarray, ends: np.ndarray, vocab: Vocabulary) -> pa.Array:
+    """The token strings of each text joined by blanks."""
+    sizes = vocab.joined_sizes[tokens]
+    joined = vocab.joined[_runs(vocab.joined_starts[tokens], sizes)].tobytes()
+    at = np.concatenate([[0], np.cumsum(sizes)])[ends].tolist()
+    return pa.array([joined[a : b - 1] if b > a else b"" for a, b in zip(at, at[1:])], pa.binary()).cast(pa.string())
 
 
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import plain
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -211,7 +212,7 @@ def test_lexicon_shares_suffixes(tmp_path):
     file.write_bytes(bpe_lexicon.compile_lexicon(words))
     lexicon = bpe_lexicon.Lexicon(str(file))
     order = sorted(words)
-    numbers = lexicon.lookup([*order, b"wal", b"", b"walkingx", b"zebra"])
+    numbers = lexicon.lookup(pa.array([*order, b"wal", b"", b"walkingx", b"zebra"], pa.large_binary()))
     assert numbers.tolist() == [*range(len(order)), -1, -1, -1, -1]
     assert [tuple(lexicon.ids[lexicon.offsets[k] : lexicon.offsets[k + 1]]) for k in numbers[: len(order)]] == [words[w] for w in order]
     assert len(lexicon.final) == 14  # a tree without shared endings has 21 states
