@@ -19,9 +19,11 @@ number of rows for one group:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window
 
 from sessionflow.functions.timeconv import floor_div
@@ -59,7 +61,7 @@ def islands(
         rows = rows.where(F.col("_m").isNotNull())
 
     # 1. cells
-    order = F.struct("_t", "_o") if wide else None
+    order = _ordered(rows) if wide else None
     rows = rows.withColumn("_cell", floor_div(F.col("_t"), gap_ms + 1)).withColumn(
         "_block", floor_div(F.col("_cell"), CELLS_PER_BLOCK)
     )
@@ -88,6 +90,20 @@ def islands(
     )
 
 
+def _ordered(rows: DataFrame) -> Column:
+    """Time and tiebreak as one value, so that first and last values need no sort.
+
+    Aggregates over a struct sort all rows; over a number of fixed width they hash. Two integers fit
+    into one decimal; a tiebreak of another type stays in a struct.
+    """
+    if not isinstance(rows.schema["_o"].dataType, IntegralType):
+        return F.struct("_t", "_o")
+    high = F.col("_t").cast("decimal(19,0)") * F.lit(Decimal(1 << 64))
+    # a missing tiebreak stands before all others, as it does in a struct
+    low = F.coalesce(F.col("_o").cast("decimal(20,0)"), F.lit(Decimal(-1 << 63) - 1))
+    return (high.cast("decimal(38,0)") + low).cast("decimal(38,0)")
+
+
 def _chained(
     parts: DataFrame, group: list[str], by: str, gap_ms: int, known: Column, wide: bool
 ) -> DataFrame:
