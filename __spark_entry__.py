@@ -25,8 +25,8 @@ from sessionflow.operators import counts, sessions, spans, stations, trips  # no
 from sessionflow.sources.lines import text_stream  # noqa: E402
 from sessionflow.sources.paced import paced_stream  # noqa: E402
 from sessionflow.sources.tables import parquet_stream, parquet_table, zoned  # noqa: E402
-from sessionflow.streaming import collect, jobs, native, ordered, sinks, stateful  # noqa: E402
-from sessionflow.streaming.runner import run_available_now, run_until_idle  # noqa: E402
+from sessionflow.streaming import collect, jobs, native, ordered, sinks, stateful, upsert  # noqa: E402
+from sessionflow.streaming.runner import run_available_now, run_until_idle, start  # noqa: E402
 from sessionflow.workdir import shared_dir  # noqa: E402
 
 #: In front of the line of an error it makes a line that cannot be parsed.
@@ -281,6 +281,8 @@ def q_stream_span(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Micro-batches that a paced stream of a whole table makes at least.
 BATCHES = 12
+#: Fewer where each one rewrites a table.
+UPSERT_BATCHES = 4
 
 
 def _paced_vehicles(spark: SparkSession, sf_dir: str, name: str, backlog: bool = False) -> DataFrame:
@@ -365,6 +367,20 @@ def q_job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_available_now(jobs.counts(lines), "job-counts").drop("batch_id")
 
 
+def q_job_counts_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current count of each key, kept in a table over many micro-batches."""
+    events = _events(spark, sf_dir)
+    folder = shared_dir(spark, "counts-upsert")
+    _user_lines(events).write.text(f"{folder}/lines")
+    found = jobs.counts(paced_stream(spark, f"{folder}/lines", max_rows=max(-(-events.count() // UPSERT_BATCHES), 1)))
+    query = start(upsert.upsert(found, ["userId", "eventType"], f"{folder}/table", f"{folder}/checkpoint", buckets=8), spark)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return upsert.current(spark, f"{folder}/table", found.schema)
+
+
 def q_job_expiring_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _line_stream(spark, _user_lines(_events(spark, sf_dir)), "expiring-counts")
     return run_available_now(jobs.expiring_counts(lines), "job-expiring-counts").drop("batch_id")
@@ -537,6 +553,7 @@ def _own_sql() -> dict[str, str]:
             "endTime" := "endTime", status := status)) as varchar) as "value"
             from ({_STATION_ROWS} {_TIMED_OUT_STATION})""",
         "job_counts": _JOB_COUNTS,
+        "job_counts_upsert": _JOB_COUNTS,
         "job_expiring_counts": _JOB_COUNTS,
         "job_sessions": """select cast(user_id as int) as id, count(*) as n,
             count(*) filter (event_type = 'purchase') as closing,
