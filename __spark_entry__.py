@@ -21,11 +21,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from sessionflow.functions import parsing  # noqa: E402
 from sessionflow.functions.envelope import envelope  # noqa: E402
 from sessionflow.functions.timeconv import epoch_ms, from_wall_clock  # noqa: E402
-from sessionflow.operators import counts, sessions, spans, stations, trips  # noqa: E402
+from sessionflow.operators import counts, incremental, sessions, spans, stations, trips  # noqa: E402
 from sessionflow.sources.lines import text_stream  # noqa: E402
 from sessionflow.sources.paced import paced_stream  # noqa: E402
 from sessionflow.sources.tables import parquet_stream, parquet_table, zoned  # noqa: E402
-from sessionflow.streaming import collect, jobs, native, ordered, sinks, stateful, upsert  # noqa: E402
+from sessionflow.streaming import collect, jobs, late, native, ordered, sinks, stateful, upsert  # noqa: E402
 from sessionflow.streaming.runner import run_available_now, run_until_idle, start  # noqa: E402
 from sessionflow.workdir import shared_dir  # noqa: E402
 
@@ -123,6 +123,21 @@ def q_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.trips(_events(spark, sf_dir), **TRIP)
 
 
+#: Partitions by time in which a table is added.
+PARTS = 3
+
+
+def q_trips_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of a table that grew by partitions of time, each read once."""
+    events = _events(spark, sf_dir)
+    folder = shared_dir(spark, "trips-incremental")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    part = F.floor((F.col("event_id") - first) * PARTS / (last - first + 1))
+    for i in range(PARTS):
+        incremental.add_partition(events.where(part == i), folder, i, **{n: v for n, v in TRIP.items()})
+    return incremental.stored_trips(events, folder, PARTS - 1, "user_id", "event_id")
+
+
 def q_trip_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.trip_status(_events(spark, sf_dir), **TRIP)
 
@@ -316,6 +331,24 @@ def q_stream_trips_native_batches(spark: SparkSession, sf_dir: str) -> DataFrame
     return run_until_idle(found, "trips-native-batches", "append").drop("batch_id")
 
 
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All signals again, those in time and those that were late: each file but the first goes back to the start."""
+    events = _events(spark, sf_dir)
+    folder = shared_dir(spark, "late-rows")
+    for i in range(4):
+        _vehicle_lines(events.where(F.col("event_id") % 4 == i)).write.text(f"{folder}/lines/{i}")
+    lines = paced_stream(spark, f"{folder}/lines", max_rows=max(-(-events.count() // 4), 1))
+    signals = parsing.valid(parsing.parse_vehicle(lines))
+    query = start(late.split(signals, "createTime", 300_000, f"{folder}/out", f"{folder}/checkpoint"), spark)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    in_time = late.in_time(spark, f"{folder}/out", signals.schema)
+    missed = late.late_rows(spark, f"{folder}/out", signals.schema).drop("watermark_ms")
+    return in_time.unionByName(missed).select("vin", epoch_ms("createTime").alias("create_ms"), "mileage")
+
+
 def _ordered_trips(spark: SparkSession, sf_dir: str, name: str, backlog: bool = False) -> tuple[DataFrame, DataFrame]:
     """Trips that were closed, and those that the stored state holds."""
     signals = _paced_vehicles(spark, sf_dir, name, backlog)
@@ -494,6 +527,7 @@ def oracle_sql() -> dict[str, str]:
 def _own_sql() -> dict[str, str]:
     return {
         "trips": _TRIPS,
+        "trips_incremental": _TRIPS,
         "trip_status": _STATUS,
         "station_outages": f"""{_segments()} select k as user_id, "startTime", "endTime", status
             from ({_STATION_ROWS})""",
@@ -535,6 +569,8 @@ def _own_sql() -> dict[str, str]:
         "stream_pv_batches": _JOB_COUNTS,
         "stream_trips_native_batches": f"""{_segments(_VEHICLE_SOURCE)} select k as vin, {_TRIP}, true as "isTripEnded"
             from h where b + 21600000 <= (select max(b) from h) - 300000""",
+        "stream_late_rows": """select cast(user_id as varchar) as vin, epoch_us(ts) // 1000 as create_ms,
+            event_id as mileage from events""",
         "stream_trips_ordered": _ORDERED,
         "stream_backlog": _ORDERED,
         "open_trips": f"select * from ({_ORDERED}) where not \"isTripEnded\"",

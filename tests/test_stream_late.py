@@ -6,8 +6,8 @@ from test_stream_random import GAP, batches_of, fold_count, fold_span, fold_stat
 
 from sessionflow.functions import parsing
 from sessionflow.operators import sessions
-from sessionflow.sources.lines import with_backlog
-from sessionflow.streaming import cells, native, stateful
+from sessionflow.sources.lines import text_stream, with_backlog
+from sessionflow.streaming import cells, late, native, runner, stateful
 from sessionflow.streaming.runner import run_available_now
 
 
@@ -65,3 +65,26 @@ def test_sessions_refuse_rows_without_order_and_keep_null_keys(spark):
     bad = spark.createDataFrame([("a", None, True)], schema)
     with pytest.raises(Exception, match="an event has no o"):
         sessions.closed_session_events(bad, "k", "o", "last").collect()
+
+
+def test_late_rows_are_an_output(spark, tmp_path):
+    """What is in time and what is late make all rows; the state sees the rows in time, as it does without the split."""
+    batches = [
+        [vehicle("A", 0, 1), vehicle("A", 1000, 2)],
+        [vehicle("B", 600, 3), vehicle("A", 700, 4), vehicle("A", 701, 5), vehicle("A", 1010, 6)],
+        [vehicle("B", 2000, 7)],
+        [vehicle("A", 1500, 8), vehicle("B", 1700, 9), vehicle("C", 1701, 10)],
+    ]
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    write_files(str(source), batches)
+    signals = parsing.valid(parsing.parse_vehicle(text_stream(spark, str(source), 1)))
+    writer = late.split(signals, "createTime", 300_000, out, str(tmp_path / "checkpoint"), {"availableNow": True})
+    runner.start(writer, spark).awaitTermination()
+    missed = late.late_rows(spark, out, signals.schema)
+    got = {(r["mileage"], r["watermark_ms"] // 1000 - BASE_S) for r in missed.collect()}
+    assert got == {(3, 700), (4, 700), (8, 1700), (9, 1700)}
+    kept = late.in_time(spark, out, signals.schema)
+    assert sorted(r["mileage"] for r in kept.collect()) == [1, 2, 5, 6, 7, 10]
+    # the marks are kept: a micro-batch that runs again is split as before
+    assert late._mark(spark, out, 0) == (BASE_S + 700) * 1000 and late._mark(spark, out, 3) == (BASE_S + 1700) * 1000
