@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
+from sessionflow.llm.batches import write_large
 from sessionflow.llm.bpe_lexicon import _BYTE_CHARS, _runs
 from sessionflow.llm.texts import slices
 from sessionflow.workdir import drop_table, write_table
@@ -326,7 +327,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", kee
                 yield pa.RecordBatch.from_arrays([*part.select(names).columns, *found], schema.names)
 
     texts = docs.withColumn(bytes_of, F.col(text_col).cast("string").cast("binary")).select(*names, bytes_of)
-    return write_table(texts.mapInArrow(run, schema).withColumn("align_row", F.monotonically_increasing_id()), "aligned")
+    return write_large(texts.mapInArrow(run, schema).withColumn("align_row", F.monotonically_increasing_id()), "aligned")
 
 
 # --- links ---------------------------------------------------------------------------------------
@@ -401,7 +402,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
 
     columns = [c for c in _ADDED if c != "align_row"]
     counts = aligned.select(*columns).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    counts = write_table(counts, "pair-counts")
+    counts = write_large(counts, "pair-counts")
     second = F.col("pair").bitwiseAND(F.lit((1 << 32) - 1))
     most = counts.groupBy(second.alias("second")).agg(F.max("n").alias("most"))
     found = counts.join(most, second == F.col("second")).select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
@@ -540,4 +541,4 @@ def digests(counted: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 [part.column(id_col), *numbers, part.column("align_best"), part.column("align_count_sum"), pa.array(shas, pa.string())], schema.names
             )
 
-    return counted.mapInArrow(run, schema)
+    return write_large(counted.mapInArrow(run, schema), "align-digests")
