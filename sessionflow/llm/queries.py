@@ -196,6 +196,35 @@ select vec_id, cast(best[2] as int) as cluster, cast(best[1] as bigint) as dista
     cast(sum(best[1]) over () as bigint) as inertia, sha256(array_to_string(w, ',')) as centroid_sha256
 from k join a3 using (r) join c3 on c3.c = best[2]"""
 )
+#: Vectors that take part, as lists of doubles; sums go from the first component to the last.
+_USABLE = """
+with recursive v as (select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+    where len(embedding) = len(list_filter(embedding, lambda x: x is not null and isfinite(x)))
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0)"""
+_SEARCH = (
+    _USABLE
+    + """,
+p as (select q.vec_id as query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.e, c.e),
+    lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda a, b: a + b)) as score
+    from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 100 = 0),
+r as (select *, row_number() over (partition by query_id order by score, vec_id) as rank from p)
+select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 10
+"""
+)
+_SIMILAR = (
+    _USABLE
+    + """,
+l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+    where list_cosine_similarity(a.e, b.e) >= 0.98),
+t as (select a, a as b from l union select t.a, l.b from t join l on t.b = l.a),
+c as (select a, min(b) as component_id from t group by a),
+n as (select a, count(distinct b) as n_links from l group by a)
+select vec_id, coalesce(n_links, 0)::bigint as n_links, coalesce(component_id, vec_id)::bigint as component_id,
+    coalesce(component_id, vec_id) = vec_id as kept
+from embeddings left join c on c.a = vec_id left join n on n.a = vec_id
+"""
+)
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mixing": _MIX, "op12_ptolemy_clusters": _CLUSTERS}
+    return {"op6_vector_dedup": _SIMILAR, "op8_block_search": _SEARCH, "op9_mixing": _MIX, "op12_ptolemy_clusters": _CLUSTERS}
