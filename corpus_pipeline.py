@@ -2,11 +2,17 @@
 
 Each stage takes what its predecessor kept, written as Parquet and read again. All but the last return the
 columns of ``documents``.
+
+Defined results: a null text has no words, bytes, shingles or tokens and passes all stages as null; a blank text is not toxic and no
+duplicate; a null id takes no part in the search for duplicates and repeats, and its row stays; rows of one id are one document, which
+stays or goes as a whole; a text that is all repeats goes; a null source is a source of its own; an empty table passes as
+one; further columns pass through with their values, whatever their names are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -22,18 +28,36 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 VOCABULARY = "word_bpe_49k.json"
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_DOCUMENT = {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def _keeping_columns(stage: Stage) -> Stage:
+    """Further columns travel under names that no operator adds."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        apart = docs.toDF(*[c if c in _DOCUMENT else f"further_{i}" for i, c in enumerate(docs.columns)])
+        return stage(spark, apart, sf_dir).select(apart.columns).toDF(*docs.columns)
+
+    return run
+
+
+@_keeping_columns
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not likelier toxic than clean."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model).where(~F.col("tox_rejected")).select(docs.columns)
 
 
+@_keeping_columns
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id."""
     found = minhash.near_duplicates(docs, width=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
     return docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
+@_keeping_columns
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that stand in a document with a smaller id; a text that is all repeats goes."""
     marked = docs.withColumn("suffix_null", F.col("text").isNull())
@@ -44,6 +68,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.withColumn("n_chars", F.when(touched, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
+@_keeping_columns
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, repeated as often as it takes them."""
     return mixing.repeated(mixing.mix(docs))
@@ -57,7 +82,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "lang", "source", F.col("bpe_tokens").alias("n_tokens"), F.col("bpe_ids").alias("token_ids"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("toxicity", reject_toxic),
     ("near_duplicates", drop_near_duplicates),
     ("suffix_dedup", cut_repeats),

@@ -118,3 +118,17 @@ def test_stages_bear_odd_rows(spark, tmp_path):
             assert frame.columns == docs.columns
             frame.collect()
         corpus_pipeline.encode(spark, frame, str(tmp_path)).collect()
+
+
+def test_further_columns_pass_whatever_their_names(spark, tmp_path):
+    """Names that operators use for columns of their own, and one that the stages use for others."""
+    names = ["suffix_null", "tox_severity", "suffix_kept", "mix_size", "kept", "further_1", "component_id"]
+    rows = [(i, f"some words of document {i} " * (i + 1), "en", "a", 5, *[f"{n} {i}" for n in names]) for i in range(6)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert found and all(r[n] == f"{n} {r['doc_id']}" for r in found for n in names)
