@@ -32,9 +32,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionflow.llm.batches import write_step
 from sessionflow.llm.packing import packed, unpacked
 from sessionflow.llm.texts import mixed, slices, word_hashes
-from sessionflow.workdir import drop_table, write_table
+from sessionflow.workdir import write_table
 
 #: Times from which on a word, or a word after a context, is in the tree.
 LEAST_COUNT = 2
@@ -373,8 +374,8 @@ _ASKED = "bucket long, chunk long, content binary"
 _ANSWER = "chunk long, kind int, words long, content binary"
 _ENTRY = "key long, size long, n long, parent double, gain double"
 _SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-_COUNTS, _RESTS = 0, 1
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_COUNTED = f"{_ANSWER}, bucket long"
+_COUNTS, _RESTS, _OFTEN = 0, 1, 2
 
 
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -404,6 +405,7 @@ class Listed:
     place: np.ndarray
     back: np.ndarray
     cuts: np.ndarray
+    often: np.ndarray | None = None  # known once the counts are
 
     def gathered(self, contents, name: str, other) -> np.ndarray:
         """What the buckets have answered, run by run."""
@@ -414,6 +416,16 @@ class Listed:
             found[at : at + len(a[name])] = a[name]
         return found
 
+    def rests(self, contents) -> np.ndarray:
+        """What the runs leave to their suffixes as contexts; 1 where they are not kept. Buckets number the frequent runs."""
+        found = np.ones(len(self.keys))
+        for content in contents:
+            a = unpacked(content)
+            bucket = int(a["bucket"][0])
+            held = self.cuts[bucket] + np.flatnonzero(self.often[self.cuts[bucket] : self.cuts[bucket + 1]])
+            found[held[a["at"]]] = a["rest"]
+        return found
+
 
 class Runs:
     """The runs of 1, 2, ... words of a chunk, as far as the buckets have answered; all arrays are by token.
@@ -446,7 +458,7 @@ class Runs:
             if _kind(self.length - 1, _RESTS) not in kinds:
                 return
             rests = np.ones(len(self.word))
-            rests[shorter.at] = shorter.gathered(kinds[_kind(self.length - 1, _RESTS)], "rest", 1.0)[shorter.back]
+            rests[shorter.at] = shorter.rests(kinds[_kind(self.length - 1, _RESTS)])[shorter.back]
             rests = self._before(rests, 1.0)  # 1 where the context is not kept
             share = np.where(self.often & (rests < 1), (self.n - DISCOUNT) / np.maximum(self.size, 1), 0.0)
             self.p = share + rests * self.p
@@ -465,7 +477,9 @@ class Runs:
 
     def _count(self, contents) -> None:
         self.n = np.zeros(len(self.word), np.int64)
-        self.n[self.listed.at] = self.listed.gathered(contents, "n", 0)[self.listed.back]
+        by_run = self.listed.gathered(contents, "n", 0)
+        self.listed.often = by_run >= LEAST_COUNT
+        self.n[self.listed.at] = by_run[self.listed.back]
         self.own = self.listed.gathered(contents, "own", False)
         self.often = self.n >= LEAST_COUNT
 
@@ -503,7 +517,7 @@ class Runs:
 
 
 def _kind(length: int, what: int) -> int:
-    return 2 * length + what
+    return 3 * length + what
 
 
 def _ask(buckets: int, total: float):
@@ -515,7 +529,7 @@ def _ask(buckets: int, total: float):
 
 
 def _add_up(length: int):
-    """For each chunk: the counts of its runs in all training texts, and for which runs it speaks."""
+    """For each chunk: the counts of its runs in all training texts, for which runs it speaks, and which are frequent."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         parts = [unpacked(c) for c in frame["content"]]
@@ -531,8 +545,11 @@ def _add_up(length: int):
             s = slice(at, at + len(p["step"]))
             at = s.stop
             content = packed(bucket=np.array([bucket]), n=n[back[s]], own=own[s])
-            rows.append((chunk, _kind(length, _COUNTS), int((own[s] & (n[back[s]] > 0)).sum()), content))
-        return pd.DataFrame(rows, columns=["chunk", "kind", "words", "content"])
+            rows.append((chunk, _kind(length, _COUNTS), int((own[s] & (n[back[s]] > 0)).sum()), content, bucket))
+            often = runs[back[s]][n[back[s]] >= LEAST_COUNT]
+            if len(often):
+                rows.append((chunk, _kind(length, _OFTEN), 0, packed(step=np.diff(often, prepend=np.uint64(0))), bucket))
+        return pd.DataFrame(rows, columns=["chunk", "kind", "words", "content", "bucket"])
 
     return run
 
@@ -547,7 +564,9 @@ def _tell_rests(length: int):
         for row in asked.itertuples():
             at = _find(keys, np.cumsum(unpacked(row.content)["step"]))
             found = np.where(at >= 0, rest[np.maximum(at, 0)], 1.0) if len(rest) else np.ones(len(at))
-            rows.append((row.chunk, _kind(length, _RESTS), 0, packed(bucket=np.array([row.bucket]), rest=found)))
+            kept_at = np.flatnonzero(found != 1.0)
+            content = packed(bucket=np.array([row.bucket]), at=kept_at.astype(np.uint32), rest=found[kept_at])
+            rows.append((row.chunk, _kind(length, _RESTS), 0, content))
         return pd.DataFrame(rows, columns=["chunk", "kind", "words", "content"])
 
     return run
@@ -569,24 +588,23 @@ def _kept(entries: DataFrame, buckets: int) -> DataFrame:
 
 def _exchanged(chunks: DataFrame, trained: int, tokens: int, depth: int) -> DataFrame:
     """The scores by a tree that stays in buckets."""
-    spark, buckets = chunks.sparkSession, tokens // BUCKET_RUNS + 1
+    buckets = tokens // BUCKET_RUNS + 1
     chunks = chunks.select("chunk", "content")
 
-    def written(rows: DataFrame, name: str) -> DataFrame:
-        """A table whose shuffles are deleted once it is there."""
-        before = spark.conf.get(_CLEANUP, None)
-        spark.conf.set(_CLEANUP, "true")
-        try:
-            return write_table(rows, name)
-        finally:
-            spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    answer = ["chunk", "kind", "content"]
+
+    def counted(asked: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+        """The counts of the runs of a length, and the frequent ones among them."""
+        rows = write_step(asked.groupBy("bucket").applyInPandas(_add_up(length), _COUNTED), f"lm-counts-{length}")
+        often = rows.where(F.col("kind") == _kind(length, _OFTEN)).select("bucket", "chunk", "content")
+        return rows.where(F.col("kind") == _kind(length, _COUNTS)), often
 
-    asked = written(chunks.mapInPandas(lambda frames: map(_ask(buckets, 0.0), frames), _ASKED), "lm-asked-1")
-    answers = written(asked.groupBy("bucket").applyInPandas(_add_up(1), _ANSWER), "lm-counts-1")
-    total = trained + 0.5 * (answers.agg(F.sum("words")).first()[0] + 1)
+    counts, often = counted(chunks.mapInPandas(lambda frames: map(_ask(buckets, 0.0), frames), _ASKED), 1)
+    answers = counts.select(answer)
+    total = trained + 0.5 * (counts.agg(F.sum("words")).first()[0] + 1)
 
     def told(what, schema: str) -> DataFrame:
-        return chunks.groupBy("chunk").cogroup(answers.select("chunk", "kind", "content").groupBy("chunk")).applyInPandas(what, schema)
+        return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(what, schema)
 
     def entries(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         return pd.concat([Runs(row.content, buckets, total, known).entries() for row in part.itertuples()])
@@ -595,15 +613,11 @@ def _exchanged(chunks: DataFrame, trained: int, tokens: int, depth: int) -> Data
         return pd.concat([Runs(row.content, buckets, total, known, depth + 1).scores() for row in part.itertuples()])
 
     for length in range(1, depth + 1):
-        longer = told(_ask(buckets, total), _ASKED)
-        if length < depth:  # else no context is as long
-            longer = written(longer, f"lm-asked-{length + 1}")
-        counts = longer.groupBy("bucket").applyInPandas(_add_up(length + 1), _ANSWER)
-        answers = answers.unionByName(written(counts, f"lm-counts-{length + 1}"))
+        counts, longer = counted(told(_ask(buckets, total), _ASKED), length + 1)
+        answers = answers.unionByName(counts.select(answer))
         kept = _kept(told(entries, _ENTRY), buckets)
-        rests = asked.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInPandas(_tell_rests(length), _ANSWER)
-        answers = answers.unionByName(written(rests, f"lm-rests-{length}"))
-        drop_table(asked)
-        asked = longer
+        rests = often.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInPandas(_tell_rests(length), _ANSWER)
+        answers = answers.unionByName(write_step(rests, f"lm-rests-{length}").select(answer))
+        often = longer
     columns = ("doc_id", "held_out", "n_tokens", "n_known", F.lit(trained).cast("bigint").alias("train_tokens"), "base_score", "score")
     return told(scored, _SCORE).select(*columns)
