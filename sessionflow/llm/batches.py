@@ -1,4 +1,4 @@
-"""Tables written through Python tasks whose rows are large."""
+"""How intermediate tables are written: in small Arrow batches, or with the shuffles behind them deleted."""
 
 from __future__ import annotations
 
@@ -11,20 +11,32 @@ from sessionflow.workdir import write_table
 
 #: Rows of an Arrow batch, where each has kilobytes: both ends of the pipe hold a few batches at a time.
 LARGE_ROWS = 500
-_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = LARGE_ROWS) -> Iterator[None]:
-    """Arrow batches of at most so many rows for what is executed inside the block."""
-    before = spark.conf.get(_SETTING)
-    spark.conf.set(_SETTING, str(rows))
+def _set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting for what is executed inside the block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_SETTING, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def small_batches(spark: SparkSession, rows: int = LARGE_ROWS):
+    """Arrow batches of at most so many rows for what is executed inside the block."""
+    return _set(spark, _ROWS, str(rows))
 
 
 def write_large(df: DataFrame, name: str) -> DataFrame:
     with small_batches(df.sparkSession):
         return write_table(df, name)
+
+
+def write_step(df: DataFrame, name: str) -> DataFrame:
+    """A table whose shuffles are deleted once it is there."""
+    with _set(df.sparkSession, _CLEANUP, "true"):
+        return write_table(df, name)
