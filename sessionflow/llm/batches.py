@@ -31,8 +31,8 @@ def small_batches(spark: SparkSession, rows: int = LARGE_ROWS):
     return _set(spark, _ROWS, str(rows))
 
 
-def write_large(df: DataFrame, name: str) -> DataFrame:
-    with small_batches(df.sparkSession):
+def write_large(df: DataFrame, name: str, rows: int = LARGE_ROWS) -> DataFrame:
+    with small_batches(df.sparkSession, rows):
         return write_table(df, name)
 
 
