@@ -4,6 +4,7 @@ import random
 
 import pytest
 from helpers import line_stream, rows, vehicle
+from pyspark.sql import functions as F
 
 from sessionflow.functions import parsing
 from sessionflow.operators import trips as tables
@@ -56,3 +57,32 @@ def test_any_cut_equals_the_table(spark, tmp_path, seed, pre_aggregate):
     assert {r["isTripEnded"] for r in closed.collect()} == {True} and 0 < running.count() < len(want)
     earlier = ordered.open_trips(spark, f"{tmp_path}/checkpoint", batch_id=0)
     assert earlier.count() > 0
+
+
+def test_calls_to_the_state_follow_buckets_not_keys(spark, tmp_path):
+    lines = [vehicle(f"v{i % 90}", i, i) for i in range(180)]
+    stream = parsing.valid(parsing.parse_vehicle(line_stream(spark, [lines[:100], lines[100:]])))
+    closed = run_available_now(ordered.trips(stream, tiebreak="mileage", buckets=7), "ordered-buckets", "append", str(tmp_path)).drop("batch_id")
+    running = ordered.open_trips(spark, f"{tmp_path}/checkpoint")
+    table = parsing.valid(parsing.parse_vehicle(spark.createDataFrame([(x,) for x in lines], "value string")))
+    want = rows(tables.trips(table, tiebreak="mileage").drop("isTripEnded"))
+    assert rows(closed.unionByName(running).drop("isTripEnded")) == want
+    timers = spark.read.format("statestore").option("path", f"{tmp_path}/checkpoint").option("stateVarName", "timer").load()
+    assert timers.count() <= 7
+
+
+def test_keys_of_any_type_and_nulls_come_back_as_they_were(spark, tmp_path):
+    names = ["1", "2", "x", "9007199254740993"]
+    lines = [vehicle(names[i % 4], i * 7, i) for i in range(40)]
+    at = F.timestamp_micros(F.col("num") + 1)
+    keys = dict(num=F.expr("try_cast(vin as bigint)"), at=at, d=F.col("num") / 3, b=F.col("vin").cast("binary"), a=F.array("vin"))
+
+    def keyed(df):
+        return parsing.valid(parsing.parse_vehicle(df)).withColumn("num", keys["num"]).withColumns({k: v for k, v in keys.items() if k != "num"})
+
+    found = ordered.trips(keyed(line_stream(spark, [lines[:15], lines[15:]])), list(keys), tiebreak="mileage")
+    closed = run_available_now(found, "ordered-keys", "append", str(tmp_path)).drop("batch_id")
+    running = ordered.open_trips(spark, f"{tmp_path}/checkpoint", list(keys))
+    want = tables.trips(keyed(spark.createDataFrame([(x,) for x in lines], "value string")), list(keys), tiebreak="mileage")
+    assert [f.dataType for f in running.schema] == [f.dataType for f in want.schema]
+    assert rows(closed.unionByName(running).drop("isTripEnded")) == rows(want.drop("isTripEnded"))
