@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import struct
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -145,6 +146,19 @@ def test_stack_scan_finds_left_diverse_intervals():
     assert found == [(0, 1, 6, 1), (0, 1, 8, 1), (1, 0, 7, 2), (1, 1, 6, 1), (1, 1, 8, 1), (2, 0, 7, 2), (2, 1, 6, 1)]
 
 
+def test_the_order_of_suffixes_takes_little_more_than_their_bytes():
+    rnd = np.random.default_rng(5)
+    texts = rnd.integers(97, 99, (3000, 84), dtype=np.uint8)
+    text, start = (x.ravel() for x in np.mgrid[0:3000, 0:35])
+    tracemalloc.start()
+    order = suffix_dedup._suffix_order(texts, text, start)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * len(text) * 88
+    whole = [bytes(texts[t, s:]).ljust(84, b"\0") for t, s in zip(text.tolist(), start.tolist())]
+    assert [whole[i] for i in order] == sorted(whole)
+
+
 # --- MinHash -------------------------------------------------------------------------------------
 
 
