@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import plain
 import public_tokenizers
 import pyarrow as pa
@@ -106,6 +107,64 @@ def test_suffix_chunk_sends_a_hot_anchor_twice_at_most(spark):
     assert max(told.values()) == 2
 
 
+def packed_chunk(texts):
+    data = [t.encode() for t in texts]
+    ids, lengths = np.arange(len(data)), np.array([len(d) for d in data])
+    return ids.tobytes(), lengths.tobytes(), suffix_dedup.zstandard.compress(b"".join(data))
+
+
+def test_a_chunk_is_looked_through_in_blocks():
+    texts = random_texts(9, 2000, words=60)
+    chunk = packed_chunk(texts)
+    size = sum(len(t.encode()) for t in texts)
+    suffix_dedup.Chunk(*chunk, 50, 4)  # powers are kept
+    tracemalloc.start()
+    suffix_dedup.Chunk(*chunk, 50, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 26 * size
+
+
+@pytest.mark.parametrize("block", [1, 7, 40, 1000])
+def test_blocks_do_not_move_anchors(block):
+    data = [t.encode() for t in ["short", "", *random_texts(11, 12), "x" * 49, "y" * 50, "ab" * 90, ""]]
+    offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+    rolling = suffix_dedup.Rolling(np.frombuffer(b"".join(data), np.uint8))
+    hashes = rolling.windows(suffix_dedup.GRAM) | np.uint64(1)
+    wanted = set()
+    for a, b in zip(offsets, offsets[1:]):
+        for s in range(a, b - 49):
+            stretch = hashes[s : s + 35]
+            wanted.update((s + np.flatnonzero(stretch == stretch.min())).tolist())
+    places, grams = suffix_dedup.find_anchors(rolling, offsets, 50, block)
+    assert places.tolist() == sorted(wanted)
+    assert grams.tolist() == hashes[places].tolist()
+
+
+def test_occurrences_travel_without_names_and_hashes():
+    """For the removal a chunk is told places, lengths and documents: a few bytes for each occurrence."""
+    rnd = random.Random(3)
+    passage = [" ".join(str(rnd.randint(0, 9999)) for _ in range(30)) for _ in range(40)]
+    chunk = packed_chunk([f"{rnd.random()} {rnd.choice(passage)} {rnd.random()}" for _ in range(600)])
+    row = pd.DataFrame([(0, *chunk)], columns=["chunk", "ids", "lengths", "data"])
+    told = next(suffix_dedup._tell(FakeRows(), 50, 1)(iter([pa.RecordBatch.from_pandas(row)]))).to_pandas()
+    sent = suffix_dedup._send_mixed(50, 1)(row, suffix_dedup._answer(np.inf)(told))
+    assert set(sent["bucket"]) <= set(range(suffix_dedup.FINE))
+    made = [suffix_dedup.unpacked(c) for b in sorted(set(sent["bucket"])) for c in suffix_dedup._find_spans(50, suffix_dedup.FINE, False)(sent[sent["bucket"] == b].reset_index())["content"]]
+    assert sum(len(m["start"]) for m in made) > 300
+    assert {k: v.dtype.itemsize for k, v in made[0].items()} == {"bucket": 8, "step": 4, "start": 1, "length": 1, "least": 8}
+
+
+class FakeRows:
+    """Hands out the function that rows would go through."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
 def test_suffix_null_ids_and_repeated_rows(spark, empty):
     text = "the same text of more than fifty bytes in each of the rows"
     rows = spark.createDataFrame([(None, text), (5, text), (5, text), (6, text)], "doc_id long, text string")
