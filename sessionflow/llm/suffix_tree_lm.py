@@ -11,9 +11,11 @@ the mass that is left goes to the distribution of its longest kept suffix, down
 There are two ways to the same scores. The tree of up to ``TREE_TOKENS`` training tokens is small and is
 sent to all tasks; only words that stand there once are looked up in buckets. The tree of a larger corpus
 stays in buckets of runs of words (``_exchanged``): a chunk of texts asks for each of its distinct runs
-once, and only for those whose parts stand there often enough; the bucket adds up the counts and answers.
-One of the chunks that have an entry hands it to the divergence test, which is a sum by context that Spark
-combines before the shuffle. So neither a common run nor a common context meets in one task row by row.
+once, and only for those whose parts stand there often enough; the bucket adds up the counts, numbers the
+frequent runs and answers. Words are asked for by their hash, longer runs by the numbers of their two parts,
+which take a third of the bytes. One of the chunks that have an entry hands it to the divergence test, which is
+a sum by context that chunks and Spark combine before the shuffle. So neither a common run nor a common context
+meets in one task row by row.
 
 Defined results: a null or empty text is the end token only; texts are scored whole; repeated rows are
 scored (and counted) each; a null id counts as an empty text for the split; an empty training set gives
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from sessionflow.llm.batches import write_step
 from sessionflow.llm.packing import packed, unpacked
 from sessionflow.llm.texts import mixed, slices, word_hashes
-from sessionflow.workdir import write_table
+from sessionflow.workdir import drop_table, write_table
 
 #: Times from which on a word, or a word after a context, is in the tree.
 LEAST_COUNT = 2
@@ -369,17 +371,19 @@ def _slice_sums(frame: pd.DataFrame) -> pd.DataFrame:
 
 #: Bytes of text in a chunk, and tokens for each bucket of runs of words.
 CHUNK_BYTES, BUCKET_RUNS = 2 << 20, 2_000_000
-CHUNK = "chunk long, trained long, tokens long, content binary"
+CHUNK = "chunk long, trained long, tokens long, content binary, words binary"
 _ASKED = "bucket long, chunk long, content binary"
 _ANSWER = "chunk long, kind int, words long, content binary"
-_ENTRY = "key long, size long, n long, parent double, gain double"
+_ENTRY = "key long, size long, listed long, parts long, covered double, gain double"
 _SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-_COUNTED = f"{_ANSWER}, bucket long"
+_COUNTED = f"{_ANSWER}, bucket long, frequent long"
+#: A frequent run is its bucket and its rank among the frequent runs there; all together are numbered bucket by bucket.
+_RANK_BITS = 40
 _COUNTS, _RESTS, _OFTEN = 0, 1, 2
 
 
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as numbers of words in the list of words of their chunk."""
+    """Texts as numbers of words in the list of words of their chunk, and that list, which is needed for the first step only."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         for part, data, offsets in slices(batch, "text", CHUNK_BYTES):
@@ -388,42 +392,55 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, held = part.column("doc_id"), part.column("held_out")
             state = held.cast(pa.int8()).fill_null(2).to_numpy(zero_copy_only=False)
             content = packed(
-                words=words, token=token.astype(np.uint32), sizes=sizes.astype(np.int64), held=state,
+                token=token.astype(np.uint32), sizes=sizes.astype(np.int64), held=state,
                 doc=doc.fill_null(0).to_numpy(zero_copy_only=False), null=doc.is_null().to_numpy(zero_copy_only=False),
             )
-            row = [number, int(sizes[state == 0].sum()), len(tokens), content]
+            row = [number, int(sizes[state == 0].sum()), len(tokens), content, packed(step=np.diff(words, prepend=np.uint64(0)))]
             yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], [c.split()[0] for c in CHUNK.split(", ")])
             number += 1
 
 
 @dataclass
 class Listed:
-    """The distinct runs of one length in a chunk, ascending, which tokens they end at, and their buckets."""
+    """The distinct runs of one length in a chunk, by bucket and ascending there, and which tokens they end at."""
 
     at: np.ndarray
-    keys: np.ndarray
-    place: np.ndarray
+    keys: np.ndarray | None  # not known of words that are counted
+    place: np.ndarray | None
     back: np.ndarray
     cuts: np.ndarray
-    often: np.ndarray | None = None  # known once the counts are
+    n: np.ndarray | None = None  # known once the counts are
+    often: np.ndarray | None = None
 
     def gathered(self, contents, name: str, other) -> np.ndarray:
         """What the buckets have answered, run by run."""
-        found = np.full(len(self.keys), other)
+        found = np.full(int(self.cuts[-1]), other)
         for content in contents:
             a = unpacked(content)
             at = self.cuts[int(a["bucket"][0])]
             found[at : at + len(a[name])] = a[name]
         return found
 
-    def rests(self, contents) -> np.ndarray:
-        """What the runs leave to their suffixes as contexts; 1 where they are not kept. Buckets number the frequent runs."""
-        found = np.ones(len(self.keys))
+    def _held(self, bucket: int) -> np.ndarray:
+        """The frequent runs of a bucket."""
+        return self.cuts[bucket] + np.flatnonzero(self.often[self.cuts[bucket] : self.cuts[bucket + 1]])
+
+    def numbers(self, contents, base: np.ndarray) -> np.ndarray:
+        """The number of each frequent run, else -1."""
+        found = np.full(int(self.cuts[-1]), -1, np.int64)
         for content in contents:
             a = unpacked(content)
             bucket = int(a["bucket"][0])
-            held = self.cuts[bucket] + np.flatnonzero(self.often[self.cuts[bucket] : self.cuts[bucket + 1]])
-            found[held[a["at"]]] = a["rest"]
+            found[self._held(bucket)] = base[bucket] + np.cumsum(a["step"], dtype=np.int64)
+        return found
+
+    def rests(self, contents) -> np.ndarray:
+        """What the runs leave to their suffixes as contexts; 1 where they are not kept."""
+        found = np.ones(int(self.cuts[-1]))
+        for content in contents:
+            a = unpacked(content)
+            run = self._held(int(a["bucket"][0]))[np.cumsum(a["step"], dtype=np.int64)]
+            found[run] = 1 - (a["listed"] - DISCOUNT * a["parts"]) / self.n[run]
         return found
 
 
@@ -434,19 +451,31 @@ class Runs:
     runs of ``most`` words.
     """
 
-    def __init__(self, content: bytes, buckets: int, total: float, answers: pd.DataFrame | None = None, most: int = 0):
+    def __init__(self, content: bytes, buckets: int, total: float, bases: tuple, answers: pd.DataFrame | None = None, most: int = 0, words: bytes = b""):
+        """``bases``: of each length that is numbered, the number of the first frequent run of each bucket, and of all.
+
+        ``words`` are asked for as long as there are no answers.
+        """
         self.part = unpacked(content)
-        self.sizes, self.buckets = self.part["sizes"], buckets
-        self.word = self.part["words"][self.part["token"]]
-        self.first = np.zeros(len(self.word), bool)
+        self.sizes, self.buckets, self.bases = self.part["sizes"], buckets, bases
+        tokens = self.part["token"].astype(np.int64)
+        self.first = np.zeros(len(tokens), bool)
         self.first[np.cumsum(self.sizes) - self.sizes] = True
         self.trained = np.repeat(self.part["held"] == 0, self.sizes)
-        self.run, self.length = self.word, 1  # the hash of the run that ends at the token
-        self.listed = self._list(np.arange(len(self.word)))
-        kinds = {} if answers is None else {k: f["content"] for k, f in answers.groupby("kind")}
-        if _kind(1, _COUNTS) not in kinds:
+        self.length = 1
+        if answers is None:
+            hashes = np.cumsum(unpacked(words)["step"], dtype=np.uint64)
+            self.listed = Listed(np.arange(len(tokens)), hashes, None, tokens, self._cuts(self._bucket(hashes)))
             return
-        self._count(kinds[_kind(1, _COUNTS)])
+        kinds = {k: f["content"] for k, f in answers.groupby("kind")}
+        sizes = np.zeros(buckets + 1, np.int64)
+        for content in kinds[_kind(1, _COUNTS)]:
+            a = unpacked(content)
+            sizes[int(a["bucket"][0]) + 1] = len(a["n"])
+        self.listed = Listed(np.arange(len(tokens)), None, None, tokens, np.cumsum(sizes))
+        del tokens
+        self._count(kinds)
+        self.word = self.number
         self.known = self.n > 0
         self.base = (self.n + 0.5) / total
         self.p = self.base.copy()
@@ -454,19 +483,29 @@ class Runs:
             shorter = self._lengthen()
             if _kind(self.length, _COUNTS) not in kinds:
                 return
-            self._count(kinds[_kind(self.length, _COUNTS)])
+            self._count(kinds)
             if _kind(self.length - 1, _RESTS) not in kinds:
                 return
-            rests = np.ones(len(self.word))
+            rests = np.ones(len(self.n))
             rests[shorter.at] = shorter.rests(kinds[_kind(self.length - 1, _RESTS)])[shorter.back]
             rests = self._before(rests, 1.0)  # 1 where the context is not kept
             share = np.where(self.often & (rests < 1), (self.n - DISCOUNT) / np.maximum(self.size, 1), 0.0)
             self.p = share + rests * self.p
 
-    def _list(self, at: np.ndarray) -> Listed:
-        keys, place, back = np.unique(self.run[at], return_index=True, return_inverse=True)
-        bucket = (keys >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)
-        return Listed(at, keys, place, back.ravel(), np.searchsorted(bucket, np.arange(self.buckets + 1, dtype=np.uint64)))
+    def _bucket(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)
+
+    def _cuts(self, bucket: np.ndarray) -> np.ndarray:
+        return np.searchsorted(bucket, np.arange(self.buckets + 1, dtype=np.uint64))
+
+    def _list(self, at: np.ndarray, runs: np.ndarray) -> Listed:
+        """Of the runs of several words, by the numbers of both parts, that end at some tokens."""
+        keys, place, back = np.unique(runs, return_index=True, return_inverse=True)
+        bucket = self._bucket(mixed(keys))
+        order = np.argsort(bucket, kind="stable")
+        new = np.empty(len(order), np.int64)
+        new[order] = np.arange(len(order))
+        return Listed(at, keys[order], place[order], new[back.ravel()], self._cuts(bucket[order]))
 
     def _before(self, values: np.ndarray, other) -> np.ndarray:
         """The value of the token before, within a text."""
@@ -475,20 +514,26 @@ class Runs:
         found[self.first] = other
         return found
 
-    def _count(self, contents) -> None:
-        self.n = np.zeros(len(self.word), np.int64)
-        by_run = self.listed.gathered(contents, "n", 0)
-        self.listed.often = by_run >= LEAST_COUNT
-        self.n[self.listed.at] = by_run[self.listed.back]
-        self.own = self.listed.gathered(contents, "own", False)
+    def _count(self, kinds: dict) -> None:
+        contents = kinds[_kind(self.length, _COUNTS)]
+        x = self.listed
+        by_run = x.gathered(contents, "n", 0)
+        x.n, x.often = by_run, by_run >= LEAST_COUNT
+        self.n = np.zeros(len(self.first), np.int64)
+        self.n[x.at] = by_run[x.back]
+        self.own = x.gathered(contents, "own", False)
         self.often = self.n >= LEAST_COUNT
+        if self.length <= len(self.bases):
+            self.number = np.full(len(self.first), -1, np.int64)
+            self.number[x.at] = x.numbers(kinds.get(_kind(self.length, _OFTEN), ()), self.bases[self.length - 1])[x.back]
 
     def _lengthen(self) -> Listed:
         """Go on to runs of one more word, of which both shorter parts stand there often enough."""
         shorter, at = self.listed, np.flatnonzero(self._before(self.often, False) & self.often)
-        self.context, self.size = self._before(self.run, 0), self._before(self.n, 0)
-        self.run, self.length = mixed(mixed(self.context) + self.word), self.length + 1
-        self.listed = self._list(at)
+        self.context, self.size = self._before(self.number, -1), self._before(self.n, 0)
+        self.length += 1
+        words = np.uint64(self.bases[0][-1])
+        self.listed = self._list(at, self.context[at].astype(np.uint64) * words + self.word[at].astype(np.uint64))
         return shorter
 
     def asked(self) -> Iterator[tuple[int, bytes]]:
@@ -500,12 +545,17 @@ class Runs:
             yield int(b), packed(step=np.diff(x.keys[s], prepend=np.uint64(0)), n=n[s])
 
     def entries(self) -> pd.DataFrame:
-        """Of the entries that this chunk has to hand on: context and its count, count, P after the suffix, gain."""
+        """By context, sums over the entries that this chunk has to hand on: counts, their number, P after the suffix, gain."""
         at = self.listed.at[self.listed.place[self.own]]
         at = at[self.often[at]]
+        number, first, back = np.unique(self.context[at], return_index=True, return_inverse=True)
         n, size, parent = self.n[at], self.size[at], self.p[at]
-        gain = n * np.log(n / size / parent)
-        return pd.DataFrame({"key": self.context[at].view(np.int64), "size": size, "n": n, "parent": parent, "gain": gain})
+        listed, parts, covered, gain = (np.bincount(back.ravel(), x, len(number)) for x in (n, np.ones(len(at)), parent, n * np.log(n / size / parent)))
+        base = self.bases[self.length - 2]
+        bucket = np.searchsorted(base, number, side="right") - 1
+        key = (bucket.astype(np.int64) << _RANK_BITS) | (number - base[bucket])
+        columns = {"key": key, "size": size[first], "listed": listed.astype(np.int64), "parts": parts.astype(np.int64)}
+        return pd.DataFrame(columns | {"covered": covered, "gain": gain})
 
     def scores(self) -> pd.DataFrame:
         text = np.repeat(np.arange(len(self.sizes)), self.sizes)
@@ -520,16 +570,22 @@ def _kind(length: int, what: int) -> int:
     return 3 * length + what
 
 
-def _ask(buckets: int, total: float):
+def _ask(buckets: int, total: float, bases: tuple):
     def run(chunks: pd.DataFrame, answers: pd.DataFrame | None = None) -> pd.DataFrame:
-        made = [(b, row.chunk, c) for row in chunks.itertuples() for b, c in Runs(row.content, buckets, total, answers).asked()]
+        made = []
+        for row in chunks.itertuples():
+            runs = Runs(row.content, buckets, total, bases, answers, words=getattr(row, "words", b""))
+            made.extend((b, row.chunk, c) for b, c in runs.asked())
         return pd.DataFrame(made, columns=["bucket", "chunk", "content"])
 
     return run
 
 
-def _add_up(length: int):
-    """For each chunk: the counts of its runs in all training texts, for which runs it speaks, and which are frequent."""
+def _add_up(length: int, numbered: bool):
+    """For each chunk: the counts of its runs in all training texts, for which runs it speaks, and the ranks of frequent ones.
+
+    ``frequent`` is the number of frequent runs of the bucket, in its first row.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         parts = [unpacked(c) for c in frame["content"]]
@@ -540,84 +596,103 @@ def _add_up(length: int):
         own[first] = True
         if length > 1:
             n[n < LEAST_COUNT] = 0
+        often = n >= LEAST_COUNT
+        rank = np.cumsum(often, dtype=np.uint32) - np.uint32(1)
+        small = np.int64 if n.max(initial=0) >> 31 else np.int32
         rows, at = [], 0
         for chunk, bucket, p in zip(frame["chunk"], frame["bucket"], parts):
             s = slice(at, at + len(p["step"]))
+            mine, frequent = back[s], 0 if at else int(often.sum())
             at = s.stop
-            content = packed(bucket=np.array([bucket]), n=n[back[s]], own=own[s])
-            rows.append((chunk, _kind(length, _COUNTS), int((own[s] & (n[back[s]] > 0)).sum()), content, bucket))
-            often = runs[back[s]][n[back[s]] >= LEAST_COUNT]
-            if len(often):
-                rows.append((chunk, _kind(length, _OFTEN), 0, packed(step=np.diff(often, prepend=np.uint64(0))), bucket))
-        return pd.DataFrame(rows, columns=["chunk", "kind", "words", "content", "bucket"])
+            content = packed(bucket=np.array([bucket]), n=n[mine].astype(small), own=own[s])
+            rows.append((chunk, _kind(length, _COUNTS), int((own[s] & (n[mine] > 0)).sum()), content, bucket, frequent))
+            ranks = rank[mine[often[mine]]] if numbered else ()
+            if len(ranks):
+                content = packed(bucket=np.array([bucket]), step=np.diff(ranks, prepend=np.uint32(0)))
+                rows.append((chunk, _kind(length, _OFTEN), 0, content, bucket, 0))
+        return pd.DataFrame(rows, columns=["chunk", "kind", "words", "content", "bucket", "frequent"])
 
     return run
 
 
 def _tell_rests(length: int):
-    """For each chunk: what the contexts that it has leave to their suffixes."""
+    """For each chunk: which of the contexts that it has are kept, with the sum and the number of their entries.
+
+    What they leave to their suffixes follows from these small numbers and the count, which the chunk knows.
+    """
 
     def run(asked: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
-        order = np.argsort(keys := kept["key"].to_numpy().view(np.uint64))
-        keys, rest = keys[order], kept["rest"].to_numpy()[order]
+        order = np.argsort(keys := kept["key"].to_numpy() & ((1 << _RANK_BITS) - 1))
+        keys, listed, parts = keys[order], kept["listed"].to_numpy()[order], kept["parts"].to_numpy()[order]
+        small = np.int64 if listed.max(initial=0) >> 31 else np.int32
         rows = []
         for row in asked.itertuples():
-            at = _find(keys, np.cumsum(unpacked(row.content)["step"]))
-            found = np.where(at >= 0, rest[np.maximum(at, 0)], 1.0) if len(rest) else np.ones(len(at))
-            kept_at = np.flatnonzero(found != 1.0)
-            content = packed(bucket=np.array([row.bucket]), at=kept_at.astype(np.uint32), rest=found[kept_at])
+            found = _find(keys, np.cumsum(unpacked(row.content)["step"], dtype=np.int64))
+            at = np.flatnonzero(found >= 0)
+            content = packed(
+                bucket=np.array([row.bucket]), step=np.diff(at.astype(np.uint32), prepend=np.uint32(0)),
+                listed=listed[found[at]].astype(small), parts=parts[found[at]].astype(small),
+            )
             rows.append((row.chunk, _kind(length, _RESTS), 0, content))
         return pd.DataFrame(rows, columns=["chunk", "kind", "words", "content"])
 
     return run
 
 
-def _kept(entries: DataFrame, buckets: int) -> DataFrame:
-    """``bucket, key, rest`` of the contexts that diverge from their suffixes, as in ``Tree.add_depth``."""
+def _kept(entries: DataFrame) -> DataFrame:
+    """``bucket, key, listed, parts`` of the contexts that diverge from their suffixes, as in ``Tree.add_depth``."""
     sums = entries.groupBy("key").agg(
-        F.max("size").alias("size"), F.sum("n").alias("listed"), F.count("*").alias("parts"),
-        F.sum("parent").alias("covered"), F.sum("gain").alias("gain"),
+        F.max("size").alias("size"), *[F.sum(c).alias(c) for c in ("listed", "parts", "covered", "gain")]
     )
     left = F.greatest(F.col("size") - F.col("listed"), F.lit(0))
     other = F.greatest(1 - F.col("covered"), F.lit(1e-12))
     gain = F.col("gain") + F.when(left > 0, left * F.log(left / F.col("size") / other)).otherwise(0.0)
     kept = sums.where(2 * gain > F.col("parts") + DEVIATIONS * F.sqrt(2 * F.col("parts")))
-    bucket = F.shiftright(F.shiftrightunsigned("key", 32) * F.lit(buckets).cast("long"), 32)
-    return kept.select(bucket.alias("bucket"), "key", (1 - (F.col("listed") - DISCOUNT * F.col("parts")) / F.col("size")).alias("rest"))
+    return kept.select(F.shiftright("key", _RANK_BITS).alias("bucket"), "key", "listed", "parts")
 
 
 def _exchanged(chunks: DataFrame, trained: int, tokens: int, depth: int) -> DataFrame:
     """The scores by a tree that stays in buckets."""
     buckets = tokens // BUCKET_RUNS + 1
-    chunks = chunks.select("chunk", "content")
-
     answer = ["chunk", "kind", "content"]
-
-    def counted(asked: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-        """The counts of the runs of a length, and the frequent ones among them."""
-        rows = write_step(asked.groupBy("bucket").applyInPandas(_add_up(length), _COUNTED), f"lm-counts-{length}")
-        often = rows.where(F.col("kind") == _kind(length, _OFTEN)).select("bucket", "chunk", "content")
-        return rows.where(F.col("kind") == _kind(length, _COUNTS)), often
-
-    counts, often = counted(chunks.mapInPandas(lambda frames: map(_ask(buckets, 0.0), frames), _ASKED), 1)
-    answers = counts.select(answer)
-    total = trained + 0.5 * (counts.agg(F.sum("words")).first()[0] + 1)
+    bases: tuple[np.ndarray, ...] = ()
+
+    def counted(asked: DataFrame, length: int) -> DataFrame:
+        """The counts of the runs of a length, and the ranks of the frequent ones, which go on as contexts."""
+        numbered = length <= depth
+        rows = write_step(asked.groupBy("bucket").applyInPandas(_add_up(length, numbered), _COUNTED), f"lm-counts-{length}")
+        if numbered:
+            sizes = np.zeros(buckets + 1, np.int64)
+            for r in rows.where(F.col("frequent") > 0).groupBy("bucket").agg(F.sum("frequent").alias("n")).collect():
+                sizes[r["bucket"] + 1] = r["n"]
+            nonlocal bases
+            bases += (np.cumsum(sizes),)
+            if int(bases[0][-1]) * int(bases[-1][-1]) >= 1 << 64:
+                raise OverflowError("runs of words have too many numbers")
+        return rows
+
+    whole = chunks
+    answers = counted(whole.select("chunk", "content", "words").mapInPandas(lambda frames: map(_ask(buckets, 0.0, ()), frames), _ASKED), 1)
+    chunks = write_table(whole.select("chunk", "content"), "lm-texts")  # most of what was written are the words
+    drop_table(whole)
+    total = trained + 0.5 * (answers.agg(F.sum("words")).first()[0] + 1)
+    often = answers.where(F.col("kind") == _kind(1, _OFTEN)).select("bucket", "chunk", "content")
+    answers = answers.select(answer)
 
     def told(what, schema: str) -> DataFrame:
         return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(what, schema)
 
-    def entries(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([Runs(row.content, buckets, total, known).entries() for row in part.itertuples()])
+    def entries(numbers: tuple):
+        return lambda part, known: pd.concat([Runs(row.content, buckets, total, numbers, known).entries() for row in part.itertuples()])
 
-    def scored(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([Runs(row.content, buckets, total, known, depth + 1).scores() for row in part.itertuples()])
+    def scored(numbers: tuple):
+        return lambda part, known: pd.concat([Runs(row.content, buckets, total, numbers, known, depth + 1).scores() for row in part.itertuples()])
 
     for length in range(1, depth + 1):
-        counts, longer = counted(told(_ask(buckets, total), _ASKED), length + 1)
-        answers = answers.unionByName(counts.select(answer))
-        kept = _kept(told(entries, _ENTRY), buckets)
-        rests = often.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInPandas(_tell_rests(length), _ANSWER)
+        rows = counted(told(_ask(buckets, total, bases), _ASKED), length + 1)
+        answers = answers.unionByName(rows.select(answer))
+        rests = often.groupBy("bucket").cogroup(_kept(told(entries(bases), _ENTRY)).groupBy("bucket")).applyInPandas(_tell_rests(length), _ANSWER)
         answers = answers.unionByName(write_step(rests, f"lm-rests-{length}").select(answer))
-        often = longer
+        often = rows.where(F.col("kind") == _kind(length + 1, _OFTEN)).select("bucket", "chunk", "content")
     columns = ("doc_id", "held_out", "n_tokens", "n_known", F.lit(trained).cast("bigint").alias("train_tokens"), "base_score", "score")
-    return told(scored, _SCORE).select(*columns)
+    return told(scored(bases), _SCORE).select(*columns)

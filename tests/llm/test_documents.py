@@ -433,6 +433,24 @@ def test_buckets_give_the_scores_of_the_tree(spark, odd, depth, monkeypatch):
     assert np.allclose([r[5:] for r in buckets], [r[5:] for r in tree], rtol=1e-9)
 
 
+def test_later_steps_carry_numbers_not_hashes(spark, monkeypatch):
+    """Hashes of words go once, for the first step; what is kept of longer runs is a few bytes each."""
+    rnd = random.Random(5)
+    names = [f"w{i}" for i in range(120)]
+    rows = spark.createDataFrame([(i, " ".join(rnd.choices(names, k=2000) + [f"once{i}x{k}" for k in range(1000)])) for i in range(40)], "doc_id long, text string")
+    kept, write = {}, suffix_tree_lm.write_step
+
+    def recorded(df, name):
+        table = write(df, name)
+        kept[name] = table.agg(F.sum(F.length("content"))).first()[0]
+        return table
+
+    monkeypatch.setattr(suffix_tree_lm, "write_step", recorded)
+    found = suffix_tree_lm.scores(rows.coalesce(1), F.lit(False), tree_tokens=0).collect()
+    assert len(found) == 40 and all(r["score"] > r["base_score"] for r in found)
+    assert kept["lm-counts-2"] < 4 * 120 * 120
+
+
 def test_scores_of_nothing(empty, spark):
     assert suffix_tree_lm.scores(empty, F.lit(False)).collect() == []
     rows = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
