@@ -409,14 +409,15 @@ class Listed:
     place: np.ndarray | None
     back: np.ndarray
     cuts: np.ndarray
+    context: np.ndarray | None = None  # number of the run without its last word
     n: np.ndarray | None = None  # known once the counts are
     often: np.ndarray | None = None
+    number: np.ndarray | None = None
 
-    def gathered(self, contents, name: str, other) -> np.ndarray:
+    def gathered(self, answers: list[dict], name: str, other) -> np.ndarray:
         """What the buckets have answered, run by run."""
         found = np.full(int(self.cuts[-1]), other)
-        for content in contents:
-            a = unpacked(content)
+        for a in answers:
             at = self.cuts[int(a["bucket"][0])]
             found[at : at + len(a[name])] = a[name]
         return found
@@ -458,7 +459,7 @@ class Runs:
         """
         self.part = unpacked(content)
         self.sizes, self.buckets, self.bases = self.part["sizes"], buckets, bases
-        tokens = self.part["token"].astype(np.int64)
+        self.token = tokens = self.part["token"].astype(np.int64)
         self.first = np.zeros(len(tokens), bool)
         self.first[np.cumsum(self.sizes) - self.sizes] = True
         self.trained = np.repeat(self.part["held"] == 0, self.sizes)
@@ -468,14 +469,12 @@ class Runs:
             self.listed = Listed(np.arange(len(tokens)), hashes, None, tokens, self._cuts(self._bucket(hashes)))
             return
         kinds = {k: f["content"] for k, f in answers.groupby("kind")}
+        counted = [unpacked(c) for c in kinds[_kind(1, _COUNTS)]]
         sizes = np.zeros(buckets + 1, np.int64)
-        for content in kinds[_kind(1, _COUNTS)]:
-            a = unpacked(content)
+        for a in counted:
             sizes[int(a["bucket"][0]) + 1] = len(a["n"])
-        self.listed = Listed(np.arange(len(tokens)), None, None, tokens, np.cumsum(sizes))
-        del tokens
-        self._count(kinds)
-        self.word = self.number
+        self.words = self.listed = Listed(np.arange(len(tokens)), None, None, tokens, np.cumsum(sizes))
+        self._count(kinds, counted)
         self.known = self.n > 0
         self.base = (self.n + 0.5) / total
         self.p = self.base.copy()
@@ -483,7 +482,7 @@ class Runs:
             shorter = self._lengthen()
             if _kind(self.length, _COUNTS) not in kinds:
                 return
-            self._count(kinds)
+            self._count(kinds, [unpacked(c) for c in kinds[_kind(self.length, _COUNTS)]])
             if _kind(self.length - 1, _RESTS) not in kinds:
                 return
             rests = np.ones(len(self.n))
@@ -498,14 +497,20 @@ class Runs:
     def _cuts(self, bucket: np.ndarray) -> np.ndarray:
         return np.searchsorted(bucket, np.arange(self.buckets + 1, dtype=np.uint64))
 
-    def _list(self, at: np.ndarray, runs: np.ndarray) -> Listed:
-        """Of the runs of several words, by the numbers of both parts, that end at some tokens."""
-        keys, place, back = np.unique(runs, return_index=True, return_inverse=True)
+    def _list(self, shorter: Listed, at: np.ndarray) -> Listed:
+        """Of the runs of one more word, by the numbers of both parts, that end at some tokens.
+
+        Numbers ascend with places in the lists of the chunk, so the places, which are small, are sorted in their stead.
+        """
+        head, word = self.run[at - 1], self.token[at]
+        place, back = _distinct(head, word, len(self.words.n))
+        context = shorter.number[head[place]]
+        keys = context.astype(np.uint64) * np.uint64(self.bases[0][-1]) + self.words.number[word[place]].astype(np.uint64)
         bucket = self._bucket(mixed(keys))
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(bucket.astype(np.uint16) if self.buckets <= 1 << 16 else bucket, kind="stable")
         new = np.empty(len(order), np.int64)
         new[order] = np.arange(len(order))
-        return Listed(at, keys[order], place[order], new[back.ravel()], self._cuts(bucket[order]))
+        return Listed(at, keys[order], place[order], new[back], self._cuts(bucket[order]), context[order])
 
     def _before(self, values: np.ndarray, other) -> np.ndarray:
         """The value of the token before, within a text."""
@@ -514,26 +519,23 @@ class Runs:
         found[self.first] = other
         return found
 
-    def _count(self, kinds: dict) -> None:
-        contents = kinds[_kind(self.length, _COUNTS)]
+    def _count(self, kinds: dict, counted: list[dict]) -> None:
         x = self.listed
-        by_run = x.gathered(contents, "n", 0)
-        x.n, x.often = by_run, by_run >= LEAST_COUNT
-        self.n = np.zeros(len(self.first), np.int64)
-        self.n[x.at] = by_run[x.back]
-        self.own = x.gathered(contents, "own", False)
+        x.n = x.gathered(counted, "n", 0)
+        x.often = x.n >= LEAST_COUNT
+        self.own = x.gathered(counted, "own", False)
+        self.n, self.run = np.zeros(len(self.first), np.int64), np.zeros(len(self.first), np.int64)
+        self.n[x.at], self.run[x.at] = x.n[x.back], x.back
         self.often = self.n >= LEAST_COUNT
         if self.length <= len(self.bases):
-            self.number = np.full(len(self.first), -1, np.int64)
-            self.number[x.at] = x.numbers(kinds.get(_kind(self.length, _OFTEN), ()), self.bases[self.length - 1])[x.back]
+            x.number = x.numbers(kinds.get(_kind(self.length, _OFTEN), ()), self.bases[self.length - 1])
 
     def _lengthen(self) -> Listed:
         """Go on to runs of one more word, of which both shorter parts stand there often enough."""
         shorter, at = self.listed, np.flatnonzero(self._before(self.often, False) & self.often)
-        self.context, self.size = self._before(self.number, -1), self._before(self.n, 0)
+        self.size = self._before(self.n, 0)
         self.length += 1
-        words = np.uint64(self.bases[0][-1])
-        self.listed = self._list(at, self.context[at].astype(np.uint64) * words + self.word[at].astype(np.uint64))
+        self.listed = self._list(shorter, at)
         return shorter
 
     def asked(self) -> Iterator[tuple[int, bytes]]:
@@ -546,9 +548,10 @@ class Runs:
 
     def entries(self) -> pd.DataFrame:
         """By context, sums over the entries that this chunk has to hand on: counts, their number, P after the suffix, gain."""
-        at = self.listed.at[self.listed.place[self.own]]
-        at = at[self.often[at]]
-        number, first, back = np.unique(self.context[at], return_index=True, return_inverse=True)
+        x = self.listed
+        own = np.flatnonzero(self.own & x.often)
+        at = x.at[x.place[own]]
+        number, first, back = np.unique(x.context[own], return_index=True, return_inverse=True)
         n, size, parent = self.n[at], self.size[at], self.p[at]
         listed, parts, covered, gain = (np.bincount(back.ravel(), x, len(number)) for x in (n, np.ones(len(at)), parent, n * np.log(n / size / parent)))
         base = self.bases[self.length - 2]
@@ -566,6 +569,28 @@ class Runs:
         return pd.DataFrame(columns | {"n_tokens": self.sizes, "n_known": known.astype(np.int64), "base_score": base, "score": score})
 
 
+def _distinct(head: np.ndarray, word: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct pair stands first, in ascending order, and for each pair which of these it is.
+
+    Pairs and their places are sorted as one number where it has room for both, which is several times as
+    fast as sorting places by pairs.
+    """
+    code, bits = head * words + word, len(head).bit_length()
+    if (int(head.max(initial=0)) + 1) * words << bits < 1 << 63:
+        code = code << bits | np.arange(len(code))
+        code.sort()
+        order = code & ((1 << bits) - 1)
+        code >>= bits
+    else:
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+    fresh = np.ones(len(code), bool)
+    fresh[1:] = code[1:] != code[:-1]
+    back = np.empty(len(code), np.int64)
+    back[order] = np.cumsum(fresh) - 1
+    return order[fresh], back
+
+
 def _kind(length: int, what: int) -> int:
     return 3 * length + what
 

@@ -5,6 +5,7 @@ import math
 import random
 import struct
 import tracemalloc
+import types
 import zlib
 from collections import Counter
 
@@ -451,6 +452,39 @@ def test_later_steps_carry_numbers_not_hashes(spark, monkeypatch):
     assert kept["lm-counts-2"] < 4 * 120 * 120
 
 
+@pytest.mark.parametrize("words", [50, 1 << 40])
+def test_distinct_pairs(words):
+    """Sorted with their places in one number, or, without room for that, places by pairs."""
+    rnd = np.random.default_rng(3)
+    head, word = rnd.integers(0, 40, 5000), rnd.integers(0, 50, 5000)
+    place, back = suffix_tree_lm._distinct(head, word, words)
+    pairs = list(zip(head.tolist(), word.tolist()))
+    want = sorted(set(pairs))
+    assert [pairs[i] for i in place] == want and [want[i] for i in back] == pairs
+    assert place.tolist() == [pairs.index(p) for p in want]
+    assert [len(x) for x in suffix_tree_lm._distinct(head[:0], word[:0], words)] == [0, 0]
+
+
+def test_a_chunk_takes_each_answer_apart_once(monkeypatch):
+    rnd = random.Random(9)
+    texts = pa.array([" ".join(rnd.choices([f"w{i}" for i in range(30)], k=200)).encode() for _ in range(20)], pa.binary())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array([False] * 20), texts], ["doc_id", "held_out", "text"])
+    monkeypatch.setattr(suffix_tree_lm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    chunks = pd.concat(b.to_pandas() for b in suffix_tree_lm._chunked(iter([batch])))
+    buckets, total, bases, answers = 3, 4020 + 0.5 * 32, (), []
+    for length in (1, 2):
+        known = pd.concat(answers) if answers else None
+        asked = suffix_tree_lm._ask(buckets, total, bases)(chunks, known)
+        counted = pd.concat(suffix_tree_lm._add_up(length, True)(f.reset_index(drop=True)) for _, f in asked.groupby("bucket"))
+        frequent = counted.groupby("bucket")["frequent"].sum().reindex(range(buckets), fill_value=0)
+        bases += (np.cumsum([0, *frequent]),)
+        answers.append(counted)
+    taken, unpack = Counter(), suffix_tree_lm.unpacked
+    monkeypatch.setattr(suffix_tree_lm, "unpacked", lambda content: taken.update([content]) or unpack(content))
+    entries = suffix_tree_lm.Runs(chunks["content"].iloc[0], buckets, total, bases, pd.concat(answers)).entries()
+    assert entries["parts"].sum() > 30 and max(taken.values()) == 1
+
+
 def test_scores_of_nothing(empty, spark):
     assert suffix_tree_lm.scores(empty, F.lit(False)).collect() == []
     rows = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
