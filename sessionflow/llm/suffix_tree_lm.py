@@ -24,6 +24,7 @@ the uniform base; an empty table gives an empty result; other columns are ignore
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -253,10 +254,11 @@ def scores(
         held_out.alias("held_out"),
         F.col(text_col).cast("string").cast("binary").alias("text"),
     )
-    chunks = write_table(rows.mapInArrow(_chunked, CHUNK), "lm-chunks")
+    growth = _growth(rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
+    chunks = write_table(rows.mapInArrow(_chunked(int(CHUNK_BYTES * growth)), CHUNK), "lm-chunks")
     size = chunks.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     if size[0] > tree_tokens:
-        return _exchanged(chunks, size[0], size[1], depth)
+        return _exchanged(chunks, size[0], int(size[1] / (BUCKET_RUNS * growth)) + 1, depth)
     tree = learn(rows.where(~F.col("held_out")).select("text"), depth)
     buckets = tree.tokens // BUCKET_TOKENS + 1
     shared = _sent(tree)
@@ -369,8 +371,9 @@ def _slice_sums(frame: pd.DataFrame) -> pd.DataFrame:
 
 # --- a tree that stays in buckets ----------------------------------------------------------------
 
-#: Bytes of text in a chunk, and tokens for each bucket of runs of words.
-CHUNK_BYTES, BUCKET_RUNS = 2 << 20, 2_000_000
+#: Bytes of text in a chunk, and tokens for each bucket of runs of words, up to so many bytes of text. Beyond, both grow
+#: by the root of the bytes: every chunk asks every bucket, so the pieces between them grow no faster than the texts.
+CHUNK_BYTES, BUCKET_RUNS, LEVEL_BYTES = 2 << 20, 2_000_000, 1 << 30
 CHUNK = "chunk long, trained long, tokens long, content binary, words binary"
 _ASKED = "bucket long, chunk long, content binary"
 _ANSWER = "chunk long, kind int, words long, content binary"
@@ -382,22 +385,32 @@ _RANK_BITS = 40
 _COUNTS, _RESTS, _OFTEN = 0, 1, 2
 
 
-def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _growth(text_bytes: int) -> float:
+    """By how much chunks and buckets are larger than those of a small corpus."""
+    return max(1.0, math.sqrt(text_bytes / LEVEL_BYTES))
+
+
+def _chunked(limit: int):
     """Texts as numbers of words in the list of words of their chunk, and that list, which is needed for the first step only."""
-    number = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        for part, data, offsets in slices(batch, "text", CHUNK_BYTES):
-            tokens, sizes = _tokens(data, offsets)
-            words, token = np.unique(tokens, return_inverse=True)
-            doc, held = part.column("doc_id"), part.column("held_out")
-            state = held.cast(pa.int8()).fill_null(2).to_numpy(zero_copy_only=False)
-            content = packed(
-                token=token.astype(np.uint32), sizes=sizes.astype(np.int64), held=state,
-                doc=doc.fill_null(0).to_numpy(zero_copy_only=False), null=doc.is_null().to_numpy(zero_copy_only=False),
-            )
-            row = [number, int(sizes[state == 0].sum()), len(tokens), content, packed(step=np.diff(words, prepend=np.uint64(0)))]
-            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], [c.split()[0] for c in CHUNK.split(", ")])
-            number += 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for part, _, _ in slices(batch, "text", limit):
+                hashed = [_tokens(data, offsets) for _, data, offsets in slices(part, "text", CHUNK_BYTES)]
+                tokens, sizes = (np.concatenate(x) for x in zip(*hashed))
+                words, token = np.unique(tokens, return_inverse=True)
+                doc, held = part.column("doc_id"), part.column("held_out")
+                state = held.cast(pa.int8()).fill_null(2).to_numpy(zero_copy_only=False)
+                content = packed(
+                    token=token.astype(np.uint32), sizes=sizes.astype(np.int64), held=state,
+                    doc=doc.fill_null(0).to_numpy(zero_copy_only=False), null=doc.is_null().to_numpy(zero_copy_only=False),
+                )
+                row = [number, int(sizes[state == 0].sum()), len(tokens), content, packed(step=np.diff(words, prepend=np.uint64(0)))]
+                yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], [c.split()[0] for c in CHUNK.split(", ")])
+                number += 1
+
+    return run
 
 
 @dataclass
@@ -676,9 +689,8 @@ def _kept(entries: DataFrame) -> DataFrame:
     return kept.select(F.shiftright("key", _RANK_BITS).alias("bucket"), "key", "listed", "parts")
 
 
-def _exchanged(chunks: DataFrame, trained: int, tokens: int, depth: int) -> DataFrame:
+def _exchanged(chunks: DataFrame, trained: int, buckets: int, depth: int) -> DataFrame:
     """The scores by a tree that stays in buckets."""
-    buckets = tokens // BUCKET_RUNS + 1
     answer = ["chunk", "kind", "content"]
     bases: tuple[np.ndarray, ...] = ()
 

@@ -470,7 +470,7 @@ def test_a_chunk_takes_each_answer_apart_once(monkeypatch):
     texts = pa.array([" ".join(rnd.choices([f"w{i}" for i in range(30)], k=200)).encode() for _ in range(20)], pa.binary())
     batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array([False] * 20), texts], ["doc_id", "held_out", "text"])
     monkeypatch.setattr(suffix_tree_lm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
-    chunks = pd.concat(b.to_pandas() for b in suffix_tree_lm._chunked(iter([batch])))
+    chunks = pd.concat(b.to_pandas() for b in suffix_tree_lm._chunked(1 << 20)(iter([batch])))
     buckets, total, bases, answers = 3, 4020 + 0.5 * 32, (), []
     for length in (1, 2):
         known = pd.concat(answers) if answers else None
@@ -485,6 +485,30 @@ def test_a_chunk_takes_each_answer_apart_once(monkeypatch):
     assert entries["parts"].sum() > 30 and max(taken.values()) == 1
 
 
+def test_pieces_grow_no_faster_than_the_texts(spark, monkeypatch):
+    """Every chunk asks every bucket: with both of fixed size, four times the texts made sixteen times the pieces."""
+    for name, value in (("CHUNK_BYTES", 1 << 13), ("BUCKET_RUNS", 2_000), ("LEVEL_BYTES", 1 << 16)):
+        monkeypatch.setattr(suffix_tree_lm, name, value, raising=False)
+    pieces, write = {}, suffix_tree_lm.write_step
+
+    def recorded(df, name):
+        table = write(df, name)
+        pieces[name] = table.count()
+        return table
+
+    monkeypatch.setattr(suffix_tree_lm, "write_step", recorded)
+    texts = [t for t in random_texts(11, 2000) if t and len(t) < 1 << 12]
+    part = next(n for n in range(1, len(texts)) if sum(map(len, texts[:n])) > 1 << 16)
+    made = []
+    for times in (1, 4):
+        rows = spark.createDataFrame(list(enumerate((texts[:part] * times))), "doc_id long, text string").coalesce(1)
+        ways = [suffix_tree_lm.scores(rows, F.col("doc_id") % 5 == 1, tree_tokens=n).collect() for n in (1 << 40, 0)]
+        tree, buckets = (sorted(map(tuple, w)) for w in ways)
+        assert [r[:5] for r in buckets] == [r[:5] for r in tree] and np.allclose([r[5:] for r in buckets], [r[5:] for r in tree], rtol=1e-9)
+        made.append(pieces["lm-counts-1"])
+    assert made[0] >= 16 and made[1] < 6 * made[0]
+
+
 def test_scores_of_nothing(empty, spark):
     assert suffix_tree_lm.scores(empty, F.lit(False)).collect() == []
     rows = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
