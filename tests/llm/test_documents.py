@@ -166,6 +166,49 @@ class FakeRows:
         return run
 
 
+def neighbourhoods(fine):
+    """A group of neighbourhoods that a chunk sends when all anchors are told apart by their bytes."""
+    passages = random_texts(3, 300, 12)
+    texts = [f"{i} {p} {i % 7}" for i, p in enumerate(passages * 2)]
+    chunk = suffix_dedup.Chunk(*packed_chunk(texts), 50, fine)
+    entry, cuts = suffix_dedup._mixed(chunk, np.full(len(chunk.first), suffix_dedup.MIXED, np.uint8), fine)
+    return chunk, entry, cuts
+
+
+@pytest.mark.parametrize("buckets", [2, 4, 6])
+def test_all_buckets_take_anchors(buckets):
+    chunk, _, cuts = neighbourhoods(buckets)
+    assert set(chunk.bucket.tolist()) == set(range(buckets))
+    assert (np.diff(cuts) > 0).all()
+
+
+def test_suffix_arrays_are_made_of_parts_of_a_group(monkeypatch):
+    chunk, entry, _ = neighbourhoods(1)
+    at = chunk.first[entry]
+    data = b"".join(chunk.data[a:b].tobytes() for a, b in zip(chunk.start[at], chunk.stop[at]))
+    size = (chunk.stop[at] - chunk.start[at]).astype(np.uint8)
+    content = suffix_dedup.packed(
+        gram=chunk.gram[at], around=chunk.around[at], doc=chunk.doc[at], several=chunk.several[entry], size=size, data=np.frombuffer(data, np.uint8)
+    )
+    frame = pd.DataFrame({"bucket": [0], "chunk": [0], "content": [content]})
+    taken = []
+    whole = suffix_dedup.maximal_repeats
+    monkeypatch.setattr(suffix_dedup, "maximal_repeats", lambda texts, sizes, *a: taken.append(int(sizes.sum())) or whole(texts, sizes, *a))
+
+    def gone(part_bytes):
+        monkeypatch.setattr(suffix_dedup, "PART_BYTES", part_bytes, raising=False)
+        found = suffix_dedup.unpacked(suffix_dedup._find_spans(50, 1, False)(frame)["content"][0])
+        own = at[np.cumsum(found["step"], dtype=np.int64)]
+        start = chunk.start[own] + found["start"]
+        cut = zip(start, start + found["length"], chunk.doc[own] > found["least"])
+        return {p for a, b, later in cut if later for p in range(a, b)}
+
+    at_once = gone(1 << 40)
+    assert at_once and len(taken) == 1
+    assert gone(4000) == at_once
+    assert max(taken[1:]) < 8000 < taken[0]  # an anchor is not divided
+
+
 def test_suffix_null_ids_and_repeated_rows(spark, empty):
     text = "the same text of more than fifty bytes in each of the rows"
     rows = spark.createDataFrame([(None, text), (5, text), (5, text), (6, text)], "doc_id long, text string")
