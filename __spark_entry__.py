@@ -22,6 +22,7 @@ from sessionflow.functions import parsing  # noqa: E402
 from sessionflow.functions.envelope import envelope  # noqa: E402
 from sessionflow.functions.timeconv import epoch_ms, from_wall_clock  # noqa: E402
 from sessionflow.operators import counts, incremental, sessions, spans, stations, trips  # noqa: E402
+from sessionflow.plans.ranks import lower_median  # noqa: E402
 from sessionflow.sources.lines import text_stream  # noqa: E402
 from sessionflow.sources.paced import paced_stream  # noqa: E402
 from sessionflow.sources.tables import parquet_stream, parquet_table, zoned  # noqa: E402
@@ -306,8 +307,8 @@ def _paced_vehicles(spark: SparkSession, sf_dir: str, name: str, backlog: bool =
     n = events.count()
     folder = shared_dir(spark, f"{name}-lines")
     live, recorded = f"{folder}/live", f"{folder}/recorded"
-    half = events.agg(F.median("event_id")).scalar() if backlog else F.lit(None)
-    late = F.coalesce(F.col("event_id") > half, F.lit(True))
+    half = lower_median(events, "event_id") if backlog else None
+    late = F.coalesce(F.col("event_id") > F.lit(half), F.lit(True))
     # live lines are there before recorded ones
     _vehicle_lines(events.where(late)).write.text(live)
     if backlog:
